@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from halfstar.operators.joins import KeyedTable, lookup
+from halfstar.operators.joins import KeyedTable, lookup, support_table
 from halfstar.session import materialise
 
 
@@ -48,7 +48,6 @@ def support_features(df: DataFrame) -> DataFrame:
     Aggregate-then-lookup instead of a window: a window would gather all rows
     of a hot user or movie in one task.
     """
-    users = KeyedTable.build(df.groupBy("userId").agg(F.count("*").alias("n")), "userId")
-    movies = KeyedTable.build(df.groupBy("movieId").agg(F.count("*").alias("n")), "movieId")
+    users, movies = support_table(df, "userId"), support_table(df, "movieId")
     df = lookup(df, users, [F.col("n").alias("n_movies_by_user")])
     return lookup(df, movies, [F.col("n").alias("n_users_by_movie")])

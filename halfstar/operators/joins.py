@@ -127,11 +127,30 @@ def anti_join_all(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(other, condition, "left_anti")
 
 
+def support_table(df: DataFrame, key: str) -> KeyedTable:
+    """Rows per key."""
+    return KeyedTable.build(df.groupBy(key).agg(F.count("*").alias("n")), key)
+
+
+def keep_keys(fact: DataFrame, table: KeyedTable) -> DataFrame:
+    """Rows whose key is in ``table``, with the same plan choice as ``lookup``."""
+    return lookup(fact, table, [F.lit(True).alias("__kept")]).where("__kept").drop("__kept")
+
+
 def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``.
 
     The right side is reduced to its distinct keys first, so a key that fills
     most of it never has to be shuffled row by row.
     """
-    keys = right.select(F.col(key).alias("__r_key")).distinct()
-    return left.join(keys, F.col(key).eqNullSafe(F.col("__r_key")), "left_semi")
+    return keep_keys(left, support_table(right, key))
+
+
+def natural_inner_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner join on every common column, null-safe; duplicates multiply."""
+    common = [c for c in left.columns if c in right.columns]
+    other = right.withColumnsRenamed({c: f"__r_{c}" for c in common})
+    condition = F.lit(True)
+    for c in common:
+        condition = condition & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    return left.join(other, condition).drop(*[f"__r_{c}" for c in common])

@@ -101,12 +101,13 @@ def stratified_exact(df: DataFrame, stratum: str, share: float) -> DataFrame:
         .withColumn("__want", F.ceil(F.col("__n") * share))
         .where((F.col("__upto") >= F.col("__want")) & (F.col("__upto") - F.col("__m") < F.col("__want")))
         .select(
-            F.col(stratum).alias("__s"),
+            stratum,
+            F.col("__n").alias("n"),
             F.col("__b").alias("__cut"),
             (F.col("__want") - F.col("__upto") + F.col("__m")).alias("__left"),
         )
     )
-    placed = hashed.join(cut, F.col(stratum).eqNullSafe(F.col("__s")))
+    placed = lookup(hashed, KeyedTable.build(cut, stratum))
     whole = placed.where(F.col("__b") < F.col("__cut"))
     edge = placed.where(F.col("__b") == F.col("__cut")).withColumn(
         "__rn",

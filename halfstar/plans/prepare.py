@@ -20,7 +20,7 @@ class Prepared:
     """Ratings joined with their movies, flagged into train and holdout.
 
     ``fact`` is written partitioned by ``holdout``, so reading one side prunes
-    the other; year and week are stored columns.
+    the other; year, bare title and week are stored columns.
     """
 
     spark: SparkSession
@@ -68,9 +68,10 @@ def build(spark: SparkSession, ratings: DataFrame, movies: DataFrame) -> Prepare
     """Write the prepared fact of any ratings / movies pair."""
     ratings = materialise(ratings, "ratings")
     movies = materialise(movies, "movies")
-    fact = title_parts(flag_holdout(enrich(ratings, movies))).withColumn(
-        "week", week_start(F.col("timestamp"))
+    flagged = flag_holdout(enrich(ratings, movies)).withColumns(
+        {"full_title": F.col("title"), "week": week_start(F.col("timestamp"))}
     )
+    fact = title_parts(flagged)
     return Prepared(spark, materialise(fact, "fact", ["holdout"]), movies)
 
 

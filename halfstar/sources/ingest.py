@@ -6,6 +6,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from halfstar.operators.ids import with_dense
+from halfstar.operators.joins import KeyedTable
+
 MISSING_ID = -1
 
 
@@ -19,13 +22,10 @@ def prepare_ids(df: DataFrame, user: str = "userId", item: str = "movieId") -> D
     )
 
 
-def recode_ids(df: DataFrame, user_index: DataFrame, item_index: DataFrame) -> DataFrame:
-    """Replace ids by dense codes of shared index tables, then drop incomplete rows."""
-    return (
-        df.join(user_index.select("userId", F.col("idx").alias("user")), "userId")
-        .join(item_index.select("movieId", F.col("idx").alias("item")), "movieId")
-        .dropna(how="any")
-    )
+def recode_ids(df: DataFrame, users: KeyedTable, items: KeyedTable) -> DataFrame:
+    """Attach dense codes of shared index tables, then drop incomplete rows."""
+    coded = with_dense(with_dense(df, users, "user"), items, "item")
+    return coded.dropna(how="any")
 
 
 def ingest_batches(
