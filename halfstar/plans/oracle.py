@@ -95,7 +95,7 @@ def effect_queries() -> dict[str, str]:
     }
 
 
-LAMBDAS = "(select i * 0.25 as lambda from range(0, 41) t(i))"
+LAMBDAS = "(select i * 0.25 as penalty from range(0, 41) t(i))"
 TUNING = f"""{FACT},
 fit as (select * from train where (({ROW_HASH}) // 10) % 10 <> 0),
 valid as (
@@ -104,22 +104,22 @@ valid as (
 
 
 def sweep_ctes(train: str, holdout: str, chain: list[str], tag: str) -> str:
-    """Penalised effects for every lambda: the first key, then the others on its residual."""
+    """Penalised effects for every penalty: the first key, then the others on its residual."""
     first, *others = chain
     effects = [f"""mu_{tag} as (select avg(rating) as mu from {train}),
     l_{tag} as {LAMBDAS},
-    e0_{tag} as (select lambda, {first}, sum(rating - mu) / (count(*) + lambda) as e0
-                from {train}, mu_{tag}, l_{tag} group by lambda, {first})"""]
+    e0_{tag} as (select penalty, {first}, sum(rating - mu) / (count(*) + penalty) as e0
+                from {train}, mu_{tag}, l_{tag} group by penalty, {first})"""]
     for i, key in enumerate(others, 1):
         effects.append(f"""e{i}_{tag} as (
-        select lambda, t.{key}, sum(rating - mu - e0) / (count(*) + lambda) as e{i}
-        from {train} t join e0_{tag} using ({first}), mu_{tag} group by lambda, t.{key})""")
+        select penalty, t.{key}, sum(rating - mu - e0) / (count(*) + penalty) as e{i}
+        from {train} t join e0_{tag} using ({first}), mu_{tag} group by penalty, t.{key})""")
     joins = " ".join(
-        f"left join e{i}_{tag} on e{i}_{tag}.lambda = l_{tag}.lambda and e{i}_{tag}.{key} is not distinct from h.{key}"
+        f"left join e{i}_{tag} on e{i}_{tag}.penalty = l_{tag}.penalty and e{i}_{tag}.{key} is not distinct from h.{key}"
         for i, key in enumerate(chain))
     pred = " + ".join(["mu", *[f"e{i}" for i in range(len(chain))]])
     effects.append(f"""sweep_{tag} as (
-    select l_{tag}.lambda as lambda, count(*) as n, count(*) - count({pred}) as n_null,
+    select l_{tag}.penalty as penalty, count(*) as n, count(*) - count({pred}) as n_null,
            case when count(*) = count({pred}) then sqrt(avg(power(rating - ({pred}), 2))) end as rmse
     from {holdout} h cross join l_{tag} cross join mu_{tag} {joins} group by 1)""")
     return ",\n".join(effects)
@@ -139,22 +139,22 @@ def regularised_queries() -> dict[str, str]:
     out = {}
     for name, (_, chain) in CHAINS.items():
         out[f"reg_{name}"] = with_(f"{FACT},\n{sweep_ctes('train', 'holdout', chain, 's')}", """
-        select lambda, n, n_null, round(rmse, 6) as rmse,
-               row_number() over (order by round(rmse, 9), lambda) = 1 as is_best from sweep_s""")
+        select penalty, n, n_null, round(rmse, 6) as rmse,
+               row_number() over (order by round(rmse, 9), penalty) = 1 as is_best from sweep_s""")
     tuning, rows = [TUNING], []
     for name, (method, chain) in CHAINS.items():
         tuning.append(sweep_ctes("fit", "valid", chain, f"v_{name}"))
         tuning.append(sweep_ctes("train", "holdout", chain, f"h_{name}"))
-        rows.append(f"""select '{method}' as method, lambda, n, n_null, round(rmse, 6) as rmse
-        from sweep_h_{name} where lambda = (
-          select lambda from sweep_v_{name} order by round(rmse, 9), lambda limit 1)""")
+        rows.append(f"""select '{method}' as method, penalty, n, n_null, round(rmse, 6) as rmse
+        from sweep_h_{name} where penalty = (
+          select penalty from sweep_v_{name} order by round(rmse, 9), penalty limit 1)""")
     out["reg_validated"] = with_(",\n".join(tuning), "\nunion all\n".join(rows))
     every = "\nunion all\n".join(rmse_of(m, p) for m, p in EFFECT_PREDICTIONS.values())
     best, ctes = [], [EFFECTS]
     for name, (method, chain) in CHAINS.items():
         ctes.append(sweep_ctes("train", "holdout", chain, f"c_{name}"))
         best.append(f"""select * from (select '{method}' as method, n, n_null, round(rmse, 6) as rmse
-        from sweep_c_{name} order by round(sweep_c_{name}.rmse, 9), lambda limit 1)""")
+        from sweep_c_{name} order by round(sweep_c_{name}.rmse, 9), penalty limit 1)""")
     out["model_comparison"] = with_(",\n".join(ctes), f"""
         select method as "Method", rmse as "RMSE", cast(null as double) as "Time (sec)",
         cast(null as double) as "Size (MB)" from ({every} union all {" union all ".join(best)})""")
