@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halfstar.operators.joins import KeyedTable, lookup, support_table
 from halfstar.session import materialise
 
 
-def dense_ids(df: DataFrame, key: str) -> DataFrame:
+def dense_ids(df: DataFrame, key: str, *extra: Column) -> DataFrame:
     """``(key, n, idx)``: ids 1..m in sorted key order with the rows behind each key.
 
+    ``extra`` aggregates per key are carried along.
+
     Range partitioning sorts the distinct keys in parallel; a key's id is its
     place in its partition plus the sizes of the partitions before it. Only
     that list of partition sizes passes through a single task.
     """
-    keys = df.groupBy(key).agg(F.count("*").alias("n"))
+    keys = df.groupBy(key).agg(F.count("*").alias("n"), *extra)
     placed = keys.repartitionByRange(key).sortWithinPartitions(key).select(
-        key,
-        "n",
+        *keys.columns,
         F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
     )
@@ -29,12 +30,12 @@ def dense_ids(df: DataFrame, key: str) -> DataFrame:
     offsets = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     # one row per partition, hence bounded by the partition count
     return written.join(F.broadcast(offsets), "part").select(
-        key, "n", (F.col("offset") + F.col("place") + 1).cast("int").alias("idx")
+        *keys.columns, (F.col("offset") + F.col("place") + 1).cast("int").alias("idx")
     )
 
 
-def dense_table(df: DataFrame, key: str) -> KeyedTable:
-    return KeyedTable.build(dense_ids(df, key), key)
+def dense_table(df: DataFrame, key: str, *extra: Column) -> KeyedTable:
+    return KeyedTable.build(dense_ids(df, key, *extra), key)
 
 
 def with_dense(df: DataFrame, table: KeyedTable, name: str) -> DataFrame:

@@ -312,6 +312,39 @@ dense as (select movieId, row_number() over (order by movieId) as movieIdDense
     }
 
 
+def matrix_queries() -> dict[str, str]:
+    dense = f"""{FACT},
+    cells as (select dense_rank() over (order by userId) as u,
+                     dense_rank() over (order by movieId) as i, rating as x from train)"""
+
+    def pairs(col: str, row: str, norm: str) -> str:
+        length = "sqrt(sum(a.rating * a.rating)) * sqrt(sum(b.rating * b.rating))"
+        if norm == "full":
+            length = "min(la.length) * min(lb.length)"
+        return with_(f"""{FACT}, lengths as (
+        select {col} as id, sqrt(sum(rating * rating)) as length from train group by {col})""", f"""
+        select a.{col} as i, b.{col} as j, round(sum(a.rating * b.rating) / ({length}), 6) as sim
+        from train a join train b on a.{row} = b.{row} and a.{col} < b.{col}
+        join lengths la on la.id = a.{col} join lengths lb on lb.id = b.{col} group by 1, 2""")
+
+    return {
+        "rating_matrix": with_(dense, "select u, i, sum(x) as x from cells group by u, i"),
+        "matrix_block": with_(dense, """
+            select u, i, sum(x) as x from cells where u <= 10 and i <= 10 group by u, i"""),
+        "user_cosine": pairs("userId", "movieId", "full"),
+        "item_cosine": pairs("movieId", "userId", "full"),
+        "item_cosine_corated": pairs("movieId", "userId", "corated"),
+        "relevant_ratings": with_(FACT, """
+            select userId, movieId, rating from train
+            where userId in (select userId from train group by userId having count(*) > (
+                select round_even(quantile_cont(n, 0.90), 0) from (
+                  select cast(count(*) as double) as n from train group by userId)))
+              and movieId in (select movieId from train group by movieId having count(*) > (
+                select round_even(quantile_cont(n, 0.75), 0) from (
+                  select cast(count(*) as double) as n from train group by movieId)))"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **source_queries(),
@@ -319,4 +352,5 @@ def oracle_sql() -> dict[str, str]:
         **join_and_split_queries(),
         **effect_queries(),
         **regularised_queries(),
+        **matrix_queries(),
     }

@@ -12,6 +12,7 @@ from halfstar import sources as S
 from halfstar.functions import title_parts
 from halfstar.operators import effects as E
 from halfstar.operators import explore as X
+from halfstar.operators import matrix as M
 from halfstar.operators import regularise as R
 from halfstar.operators import split as Z
 from halfstar.operators.evaluate import comparison
@@ -26,6 +27,7 @@ SIX = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 
 # Support thresholds that suit the test tables.
 GENRE_MIN, YEAR_MIN, HISTOGRAM_BELOW, GENRE_MORE_THAN = 100, 500, 40, 100
+SVD_VALUES = 20
 FOUR_WEEKS = 4 * 7 * 86400
 
 
@@ -284,6 +286,26 @@ def reg_validated(spark, sf_dir):
     return union(*[R.tune_and_score(p.train, p.holdout, name) for name in R.METHODS])
 
 
+# --- matrix --------------------------------------------------------------------------
+
+
+def train_matrix(p: Prepared) -> DataFrame:
+    return p.fitted("matrix", lambda: materialise(M.rating_matrix(p.train), "matrix"))
+
+
+def matrix_block(spark, sf_dir):
+    return M.matrix_block(train_matrix(prepare(spark, sf_dir)), 10, 10)
+
+
+def svd_energy(spark, sf_dir):
+    """Energy of the leading singular values, within themselves and of the whole matrix."""
+    matrix = train_matrix(prepare(spark, sf_dir))
+    sigma = M.svd(matrix, SVD_VALUES).s.toArray().tolist()
+    norm = matrix.agg(F.sum(F.pow("x", 2))).first()[0]
+    whole = M.energy_table(spark, sigma, norm).select("k", F.col("share").alias("share_of_matrix"))
+    return M.energy_table(spark, sigma).join(whole, "k")
+
+
 def queries() -> dict[str, Query]:
     return {
         "parse_ratings_lines": parse_ratings_lines,
@@ -348,4 +370,13 @@ def queries() -> dict[str, Query]:
         "reg_all": _sweep("all"),
         "reg_validated": reg_validated,
         "model_comparison": model_comparison,
+        "rating_matrix": on_train(M.rating_matrix),
+        "matrix_block": matrix_block,
+        "user_cosine": on_train(lambda t: rounded(M.user_cosine(t), "sim")),
+        "item_cosine": on_train(lambda t: rounded(M.item_cosine(t), "sim")),
+        "item_cosine_corated": on_train(lambda t: rounded(M.item_cosine(t, norm="corated"), "sim")),
+        "svd_energy": svd_energy,
+        "relevant_ratings": on_train(
+            lambda t: M.relevant_ratings(t.select("userId", "movieId", "rating"))
+        ),
     }
