@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.mllib.linalg import SparseVector
-from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+from pyspark import StorageLevel
+from pyspark.mllib.linalg import SparseVector, VectorUDT
+from pyspark.mllib.linalg.distributed import IndexedRowMatrix, SingularValueDecomposition
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from halfstar.functions import round_half_even
 from halfstar.operators.blocks import pair_sums
 from halfstar.operators.explore import counts_by, exact_quantile
 from halfstar.operators.ids import dense_table, with_dense
 from halfstar.operators.joins import KeyedTable, keep_keys, lookup
-from halfstar.session import checkpoint_dir
+from halfstar.session import materialise
 
 
 def rating_matrix(ratings: DataFrame) -> DataFrame:
@@ -112,18 +114,31 @@ def relevant_ratings(
     return ratings
 
 
-def svd(matrix: DataFrame, values: int):
-    """Truncated SVD of the matrix on the cluster; users are the rows."""
-    spark = matrix.sparkSession
-    checkpoint_dir(spark)
-    columns = matrix.agg(F.max("i")).first()[0]
+def indexed_rows(matrix: DataFrame, columns: int) -> DataFrame:
+    """Written table of ``(index, vector)``, one sparse row per user.
+
+    The solver passes over the rows once per iteration; reading them from the
+    written table keeps Python out of that loop.
+    """
     packed = matrix.groupBy("u").agg(
         F.sort_array(F.collect_list(F.struct((F.col("i") - 1).alias("i"), "x"))).alias("cells")
     )
     rows = packed.select("u", "cells.i", "cells.x").rdd.map(
-        lambda r: IndexedRow(r[0] - 1, SparseVector(columns, r[1], r[2]))
+        lambda r: (r[0] - 1, SparseVector(columns, r[1], r[2]))
+    )
+    schema = T.StructType(
+        [T.StructField("index", T.LongType()), T.StructField("vector", VectorUDT())]
     )
-    return IndexedRowMatrix(rows, numCols=columns).computeSVD(values, computeU=True)
+    return materialise(matrix.sparkSession.createDataFrame(rows, schema), "rows")
+
+
+def svd(matrix: DataFrame, values: int) -> SingularValueDecomposition:
+    """Truncated SVD of the matrix on the cluster; users are the rows."""
+    columns = matrix.agg(F.max("i")).first()[0]
+    rows = indexed_rows(matrix, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    result = IndexedRowMatrix(rows, numCols=columns).computeSVD(values, computeU=True)
+    rows.unpersist()
+    return result
 
 
 def energy_table(spark, sigma: list[float], total: float | None = None) -> DataFrame:

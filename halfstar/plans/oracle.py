@@ -323,7 +323,7 @@ def matrix_queries() -> dict[str, str]:
             length = "min(la.length) * min(lb.length)"
         return with_(f"""{FACT}, lengths as (
         select {col} as id, sqrt(sum(rating * rating)) as length from train group by {col})""", f"""
-        select a.{col} as i, b.{col} as j, round(sum(a.rating * b.rating) / ({length}), 6) as sim
+        select a.{col} as i, b.{col} as j, round(round(sum(a.rating * b.rating) / ({length}), 10), 6) as sim
         from train a join train b on a.{row} = b.{row} and a.{col} < b.{col}
         join lengths la on la.id = a.{col} join lengths lb on lb.id = b.{col} group by 1, 2""")
 
@@ -345,6 +345,80 @@ def matrix_queries() -> dict[str, str]:
     }
 
 
+CF = f"""{FACT},
+numbered as (select *, row_number() over (partition by userId order by h, movieId) as rn
+             from (select *, {ROW_HASH} as h from train)),
+parts as (select userId, movieId, rating,
+                 case when ({USER_HASH}) % 100 < 60 then 'train'
+                      when rn <= 2 then 'unknown' else 'known' end as part from numbered),
+means as (select userId, avg(rating) as mean from parts where part <> 'unknown' group by userId),
+seen as (select p.*, mean, rating - mean as c from parts p join means using (userId)
+         where part <> 'unknown'),
+hidden as (select p.userId, p.movieId, p.rating, mean from parts p
+           left join means using (userId) where part = 'unknown'),
+overall as (select avg(rating) as mean_all from parts where part = 'train'),
+trained as (select * from seen where part = 'train'),
+known as (select * from seen where part = 'known')"""
+
+
+def neighbour_queries(k: int = 20) -> dict[str, str]:
+    hidden = "select h.userId, h.movieId, h.rating, round(coalesce(h.mean, mean_all)"
+    centred = f"""{FACT},
+    means as (select userId, avg(rating) as mean from train group by userId),
+    c as (select t.userId, t.movieId, t.rating - mean as c from train t join means using (userId)),
+    devs as (select a.movieId as i, b.movieId as j, count(*) as cnt, avg(a.c - b.c) as dev
+             from c a join c b on a.userId = b.userId and a.movieId <> b.movieId group by 1, 2)"""
+    return {
+        "center_ratings": with_(FACT, """
+            select userId, movieId, rating, round(avg(rating) over (partition by userId), 6) as mean,
+                   round(rating - avg(rating) over (partition by userId), 6) as centred from train"""),
+        "cf_popular": with_(f"""{CF},
+        item as (select movieId, avg(c) as b from trained group by movieId)""", f"""
+            {hidden} + coalesce(b, 0), 6) as pred
+            from hidden h left join item using (movieId), overall"""),
+        "cf_user_based": with_(f"""{CF},
+        len as (select userId, sqrt(sum(c * c)) as len from seen group by userId),
+        dots as (select a.userId as u, b.userId as v, sum(a.c * b.c) as dot
+                 from known a join trained b using (movieId) group by 1, 2),
+        sims as (select u, v, round(dot / (lu.len * lv.len), 9) as sim from dots
+                 join len lu on lu.userId = u join len lv on lv.userId = v
+                 where lu.len > 0 and lv.len > 0),
+        nearest as (select * from (select *, row_number() over (
+                      partition by u order by sim desc, v) as rk from sims where sim > 0)
+                    where rk <= {k}),
+        votes as (select h.userId, h.movieId, sum(sim * t.c) / sum(sim) as b from hidden h
+                  join nearest on u = h.userId join trained t on t.userId = v
+                  and t.movieId = h.movieId group by 1, 2)""", f"""
+            {hidden} + coalesce(b, 0), 6) as pred
+            from hidden h left join votes using (userId, movieId), overall"""),
+        "cf_item_based": with_(f"""{CF},
+        len as (select movieId, sqrt(sum(c * c)) as len from trained group by movieId),
+        dots as (select a.movieId as i, b.movieId as j, sum(a.c * b.c) as dot
+                 from trained a join trained b on a.userId = b.userId and a.movieId <> b.movieId
+                 group by 1, 2),
+        sims as (select i, j, round(dot / (li.len * lj.len), 9) as sim from dots
+                 join len li on li.movieId = i join len lj on lj.movieId = j
+                 where li.len > 0 and lj.len > 0),
+        nearest as (select * from (select *, row_number() over (
+                      partition by i order by sim desc, j) as rk from sims where sim > 0)
+                    where rk <= {k}),
+        votes as (select h.userId, h.movieId, sum(sim * n.c) / sum(sim) as b from hidden h
+                  join nearest on i = h.movieId join known n on n.userId = h.userId
+                  and n.movieId = j group by 1, 2)""", f"""
+            {hidden} + coalesce(b, 0), 6) as pred
+            from hidden h left join votes using (userId, movieId), overall"""),
+        "slope_one_deviations": with_(centred, """
+            select i, j, cast(cnt as bigint) as cnt, round(dev, 6) as dev from devs where i < j"""),
+        "slope_one": with_(f"""{centred},
+        votes as (select h.userId, h.movieId, sum(cnt * (dev + c.c)) / sum(cnt) as b
+                  from holdout h join c on c.userId = h.userId
+                  join devs on i = h.movieId and j = c.movieId group by 1, 2)""", """
+            select h.userId, h.movieId, h.rating, round(mean + coalesce(b, 0), 6) as pred
+            from holdout h left join means using (userId)
+            left join votes v on v.userId = h.userId and v.movieId = h.movieId"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **source_queries(),
@@ -353,4 +427,5 @@ def oracle_sql() -> dict[str, str]:
         **effect_queries(),
         **regularised_queries(),
         **matrix_queries(),
+        **neighbour_queries(),
     }

@@ -13,6 +13,7 @@ from halfstar.functions import title_parts
 from halfstar.operators import effects as E
 from halfstar.operators import explore as X
 from halfstar.operators import matrix as M
+from halfstar.operators import neighbours as N
 from halfstar.operators import regularise as R
 from halfstar.operators import split as Z
 from halfstar.operators.evaluate import comparison
@@ -27,7 +28,7 @@ SIX = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 
 # Support thresholds that suit the test tables.
 GENRE_MIN, YEAR_MIN, HISTOGRAM_BELOW, GENRE_MORE_THAN = 100, 500, 40, 100
-SVD_VALUES = 20
+SVD_VALUES, NEIGHBOURS = 20, 20
 FOUR_WEEKS = 4 * 7 * 86400
 
 
@@ -35,6 +36,11 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def similarity(df: DataFrame) -> DataFrame:
+    """Round twice so that an exact tie at the last digit falls the same way everywhere."""
+    return rounded(rounded(df, "sim", digits=10), "sim")
+
+
 def labelled(kind: str, df: DataFrame, name: str = "kind") -> DataFrame:
     return df.select(F.lit(kind).alias(name), *df.columns)
 
@@ -306,6 +312,34 @@ def svd_energy(spark, sf_dir):
     return M.energy_table(spark, sigma).join(whole, "k")
 
 
+# --- neighbours and rules ------------------------------------------------------------
+
+
+def cf_split(p: Prepared) -> DataFrame:
+    """Training users plus known / unknown rows of test users."""
+    rows = p.train.select("userId", "movieId", "rating")
+    return p.fitted("cf split", lambda: materialise(Z.known_unknown(rows), "cf-split", ["part"]))
+
+
+def _cf(method: str, score: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark, sf_dir):
+        parts = cf_split(prepare(spark, sf_dir))
+        return rounded(score(parts), "pred")
+
+    return run
+
+
+def slope_one(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    return rounded(N.slope_one(p.train, p.holdout), "pred")
+
+
+def slope_one_deviations(train: DataFrame) -> DataFrame:
+    centred = N.center(train.select("userId", "movieId", "rating"))
+    model = N.slope_one_model(centred.drop("rating").withColumnRenamed("centred", "rating"))[0]
+    return rounded(model.select("i", "j", "cnt", "dev"), "dev")
+
+
 def queries() -> dict[str, Query]:
     return {
         "parse_ratings_lines": parse_ratings_lines,
@@ -372,10 +406,18 @@ def queries() -> dict[str, Query]:
         "model_comparison": model_comparison,
         "rating_matrix": on_train(M.rating_matrix),
         "matrix_block": matrix_block,
-        "user_cosine": on_train(lambda t: rounded(M.user_cosine(t), "sim")),
-        "item_cosine": on_train(lambda t: rounded(M.item_cosine(t), "sim")),
-        "item_cosine_corated": on_train(lambda t: rounded(M.item_cosine(t, norm="corated"), "sim")),
+        "user_cosine": on_train(lambda t: similarity(M.user_cosine(t))),
+        "item_cosine": on_train(lambda t: similarity(M.item_cosine(t))),
+        "item_cosine_corated": on_train(lambda t: similarity(M.item_cosine(t, norm="corated"))),
         "svd_energy": svd_energy,
+        "center_ratings": on_train(
+            lambda t: rounded(N.center(t.select("userId", "movieId", "rating")), "mean", "centred")
+        ),
+        "cf_popular": _cf("popular", N.popular),
+        "cf_user_based": _cf("user based", lambda parts: N.user_based(parts, NEIGHBOURS)),
+        "cf_item_based": _cf("item based", lambda parts: N.item_based(parts, NEIGHBOURS)),
+        "slope_one_deviations": on_train(slope_one_deviations),
+        "slope_one": slope_one,
         "relevant_ratings": on_train(
             lambda t: M.relevant_ratings(t.select("userId", "movieId", "rating"))
         ),
