@@ -419,6 +419,21 @@ def neighbour_queries(k: int = 20) -> dict[str, str]:
     }
 
 
+def serving_queries(k: int = 10) -> dict[str, str]:
+    ranked = " union all ".join(
+        f"""select * from (select '{pick}' as pick, row_number() over (
+              order by round(b_i, 9) {order}, movieId) as rank, movieId, b_i from bi) where rank <= {k}"""
+        for pick, order in (("top", "desc"), ("bottom", "asc")))
+    return {
+        "recommend_effects": with_(f"""{EFFECTS},
+        titles as (select distinct movieId, title, genres, year from train),
+        picks as ({ranked})""", """
+            select userId, pick, cast(rank as integer) as rank, movieId,
+                   round_even(mu + b_u + b_i, 2) as predicted_rating, title, genres, year
+            from bu cross join picks join titles using (movieId), mu"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **source_queries(),
@@ -428,4 +443,5 @@ def oracle_sql() -> dict[str, str]:
         **regularised_queries(),
         **matrix_queries(),
         **neighbour_queries(),
+        **serving_queries(),
     }

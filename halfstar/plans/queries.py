@@ -5,20 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfstar import sources as S
 from halfstar.functions import title_parts
 from halfstar.operators import effects as E
+from halfstar.operators import ensemble as T
 from halfstar.operators import explore as X
+from halfstar.operators import factor as A
+from halfstar.operators import latent as L
 from halfstar.operators import matrix as M
 from halfstar.operators import neighbours as N
+from halfstar.operators import recommend as K
 from halfstar.operators import regularise as R
 from halfstar.operators import split as Z
-from halfstar.operators.evaluate import comparison
+from halfstar.operators.evaluate import SKIP, comparison, result_record
 from halfstar.operators.ids import dense_ids, dense_table, support_features, with_dense
-from halfstar.operators.joins import natural_inner_join
+from halfstar.operators.joins import natural_inner_join, semi_join
 from halfstar.plans.prepare import Prepared, enrich, prepare
 from halfstar.session import materialise, scratch_path
 
@@ -29,6 +34,7 @@ SIX = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 # Support thresholds that suit the test tables.
 GENRE_MIN, YEAR_MIN, HISTOGRAM_BELOW, GENRE_MORE_THAN = 100, 500, 40, 100
 SVD_VALUES, NEIGHBOURS = 20, 20
+MF_RANKS, MF_REGS, CURVE_ITERATIONS = [10, 20, 30], [0.1, 0.2], [1, 2, 3, 4, 5]
 FOUR_WEEKS = 4 * 7 * 86400
 
 
@@ -340,6 +346,186 @@ def slope_one_deviations(train: DataFrame) -> DataFrame:
     return rounded(model.select("i", "j", "cnt", "dev"), "dev")
 
 
+# --- factorisation and latent models --------------------------------------------------
+
+
+def als_fit(p: Prepared) -> tuple[ALSModel, A.Factors]:
+    """The rank-10 model shared by scoring, saving and serving."""
+
+    def build():
+        rows = p.train.select("userId", "movieId", "rating")
+        model = A.estimator(rows).fit(rows)
+        return model, A.Factors.of(model, rows)
+
+    return p.fitted("als rank 10", build)
+
+
+def _record(method: str, scored: DataFrame) -> DataFrame:
+    return result_record(scored, method, mode=SKIP)
+
+
+def als_rank10(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    return _record("ALS rank 10", als_fit(p)[1].score(p.holdout))
+
+
+def als_rank20(spark, sf_dir):
+    """Shared dense ids; scored on users and movies present on both sides."""
+    p = prepare(spark, sf_dir)
+    users, items = dense_table(p.train, "userId"), dense_table(p.train, "movieId")
+    coded = [
+        S.recode_ids(rows.select("userId", "movieId", "rating"), users, items).select(
+            F.col("user").alias("userId"), F.col("item").alias("movieId"), "rating"
+        )
+        for rows in (p.train, p.holdout)
+    ]
+    train, holdout = coded
+    common = semi_join(semi_join(holdout, train, "userId"), train, "movieId")
+    factors = A.fit(train, rank=20, reg=0.1, iterations=10)
+    return _record("ALS rank 20", factors.score(common))
+
+
+def mf_als(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    return _record("MF", A.fit(p.train, rank=20, reg=0.1, iterations=20).score(p.holdout))
+
+
+def mf_grid(spark, sf_dir):
+    _, table = A.grid_search(prepare(spark, sf_dir).train, MF_RANKS, MF_REGS)
+    return rounded(table, "rmse")
+
+
+def mf_from_text(spark, sf_dir):
+    """Train and holdout written as text triplets, read back, fitted and scored."""
+    p = prepare(spark, sf_dir)
+    sides = []
+    for name, rows in (("train", p.train), ("valid", p.holdout)):
+        path = scratch_path(spark, f"{name}-text")
+        S.write_space_text(rows.select("userId", "movieId", "rating"), path)
+        sides.append(S.read_space_text(spark, path, "userId int, movieId int, rating double"))
+    return _record("MF from text", A.fit(sides[0], rank=10, iterations=10).score(sides[1]))
+
+
+def als_training_curve(spark, sf_dir):
+    curve = A.training_curve(prepare(spark, sf_dir).train, CURVE_ITERATIONS)
+    return rounded(curve, "tr_rmse", "obj")
+
+
+def factor_score(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    scored = als_fit(p)[1].score(p.holdout.select("userId", "movieId", "rating"))
+    return rounded(scored, "pred")
+
+
+def model_roundtrip(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    path = scratch_path(spark, "als-model")
+    S.save_als(als_fit(p)[0], path)
+    scored = S.load_als(path).transform(p.holdout.select("userId", "movieId", "rating"))
+    return _record("ALS rank 10, reloaded", scored.withColumnRenamed("prediction", "pred"))
+
+
+def _biased(method: str, bounded: bool) -> Query:
+    def run(spark, sf_dir):
+        p = prepare(spark, sf_dir)
+        columns = ["userId", "movieId", "rating"]
+        full = p.train.select(columns).unionByName(p.holdout.select(columns))
+        train, valid = Z.share_split(full, 0.9, "latent")
+        return _record(method, L.fit(train, bounded=bounded).score(valid))
+
+    return run
+
+
+# --- trees and ensemble --------------------------------------------------------------
+
+
+def tree_split(p: Prepared) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """70 / 30 split of the training rows, and the holdout, with support counts."""
+
+    def build():
+        rows = materialise(T.tree_rows(p.train), "tree-rows")
+        return (*Z.share_split(rows, 0.7, "trees"), materialise(T.tree_rows(p.holdout), "tree-rows"))
+
+    return p.fitted("tree split", build)
+
+
+TREE_MODELS = {
+    "gbt_support": (T.boosted, [*T.IDS, *T.SUPPORT]),
+    "gbt_ids": (T.boosted, T.IDS),
+    "rf_support": (T.forest, [*T.IDS, "timestamp", *T.SUPPORT]),
+    "rf_ids": (T.forest, T.IDS),
+}
+STACKED = {"gbt": "gbt_ids", "rf": "rf_ids"}
+
+
+def tree_encoder(p: Prepared) -> T.TargetEncoder:
+    return p.fitted("tree encoder", lambda: T.TargetEncoder.fit(tree_split(p)[0]))
+
+
+def tree_fit(p: Prepared, name: str) -> T.TreeFit:
+    make, features = TREE_MODELS[name]
+    return p.fitted(name, lambda: T.fit_trees(tree_split(p)[0], make, features, tree_encoder(p)))
+
+
+def tree_oof(p: Prepared, name: str) -> DataFrame:
+    make, features = TREE_MODELS[name]
+
+    def build():
+        scored = T.out_of_fold(tree_split(p)[0], make, features, encoder=tree_encoder(p))
+        return materialise(scored, "oof")
+
+    return p.fitted(f"{name} oof", build)
+
+
+def _tree(name: str, cross_validated: bool) -> Query:
+    def run(spark, sf_dir):
+        p = prepare(spark, sf_dir)
+        train, test, holdout = tree_split(p)
+        out = T.performance(
+            tree_fit(p, name), {"train": train, "test": test, "holdout": holdout}, name
+        )
+        if cross_validated:
+            oof = result_record(tree_oof(p, name), name)
+            out = out.unionByName(oof.withColumn("part", F.lit("out of fold")))
+        return out
+
+    return run
+
+
+def _both_oof(p: Prepared) -> DataFrame:
+    gbt, rf = (
+        tree_oof(p, STACKED[k]).withColumnRenamed("pred", k) for k in ("gbt", "rf")
+    )
+    return gbt.join(rf.select("userId", "movieId", "rf"), ["userId", "movieId"])
+
+
+def oof_predictions(spark, sf_dir):
+    return rounded(_both_oof(prepare(spark, sf_dir)), "gbt", "rf")
+
+
+def stacked_ensemble(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    blend = T.stack(_both_oof(p), list(STACKED))
+    scored = T.stacked_score(
+        blend, {k: tree_fit(p, name) for k, name in STACKED.items()}, tree_split(p)[2]
+    )
+    return _record("Stacked GBT + RF", scored)
+
+
+# --- serving -------------------------------------------------------------------------
+
+
+def recommend_top_bottom(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    user = Z.pick_user(p.holdout)
+    return K.top_bottom(als_fit(p)[1], [user], p.movie_table)
+
+
+def recommend_effects(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    return K.effect_picks(movie_user_effects(p), p.movie_table)
+
+
 def queries() -> dict[str, Query]:
     return {
         "parse_ratings_lines": parse_ratings_lines,
@@ -418,6 +604,24 @@ def queries() -> dict[str, Query]:
         "cf_item_based": _cf("item based", lambda parts: N.item_based(parts, NEIGHBOURS)),
         "slope_one_deviations": on_train(slope_one_deviations),
         "slope_one": slope_one,
+        "mf_als": mf_als,
+        "mf_grid": mf_grid,
+        "mf_from_text": mf_from_text,
+        "als_rank10": als_rank10,
+        "als_rank20": als_rank20,
+        "als_training_curve": als_training_curve,
+        "factor_score": factor_score,
+        "model_roundtrip": model_roundtrip,
+        "gbt_support": _tree("gbt_support", False),
+        "gbt_ids": _tree("gbt_ids", True),
+        "rf_support": _tree("rf_support", False),
+        "rf_ids": _tree("rf_ids", True),
+        "oof_predictions": oof_predictions,
+        "stacked_ensemble": stacked_ensemble,
+        "biased_factor_bounded": _biased("Biased factors, bounded", True),
+        "biased_factor_linear": _biased("Biased factors, linear", False),
+        "recommend_top_bottom": recommend_top_bottom,
+        "recommend_effects": recommend_effects,
         "relevant_ratings": on_train(
             lambda t: M.relevant_ratings(t.select("userId", "movieId", "rating"))
         ),
