@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from halfstar.functions import split_hash
 from halfstar.operators.joins import KeyedTable, anti_join_all, lookup, semi_join
+from halfstar.session import materialise
 
 
 def row_hash(user: str = "userId", item: str = "movieId") -> Column:
@@ -40,12 +41,12 @@ def orphan_keys(ratings: DataFrame, in_holdout: Column) -> DataFrame:
 def flag_holdout(ratings: DataFrame, buckets: int = 10) -> DataFrame:
     """Add boolean ``holdout``: hashed rows whose user and movie stay in training."""
     picked = candidate_holdout(buckets)
-    orphans = orphan_keys(ratings, picked)
-    users = KeyedTable.build(
+    orphans = materialise(orphan_keys(ratings, picked), "orphans")
+    users = KeyedTable.of_written(
         orphans.where("of_movie = 0").select("userId", "n", F.lit(True).alias("lost_user")),
         "userId",
     )
-    movies = KeyedTable.build(
+    movies = KeyedTable.of_written(
         orphans.where("of_movie = 1").select("movieId", "n", F.lit(True).alias("lost_movie")),
         "movieId",
     )

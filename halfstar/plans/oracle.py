@@ -175,6 +175,9 @@ def source_queries() -> dict[str, str]:
         "ingest_repartitioned": with_(
             RATINGS, "select userId as \"user\", movieId as item, rating from ratings"
         ),
+        "ingest_files": with_(
+            RATINGS, 'select userId as "user", movieId as item, rating, "timestamp" from ratings'
+        ),
         "prepare_ids": with_(
             RATINGS,
             """select userId as "user", movieId as item, rating from ratings
@@ -323,7 +326,7 @@ def matrix_queries() -> dict[str, str]:
             length = "min(la.length) * min(lb.length)"
         return with_(f"""{FACT}, lengths as (
         select {col} as id, sqrt(sum(rating * rating)) as length from train group by {col})""", f"""
-        select a.{col} as i, b.{col} as j, round(round(sum(a.rating * b.rating) / ({length}), 10), 6) as sim
+        select a.{col} as i, b.{col} as j, round(sum(a.rating * b.rating) / ({length}), 9) as sim
         from train a join train b on a.{row} = b.{row} and a.{col} < b.{col}
         join lengths la on la.id = a.{col} join lengths lb on lb.id = b.{col} group by 1, 2""")
 

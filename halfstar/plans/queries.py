@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfstar import sources as S
+from halfstar import streaming
 from halfstar.functions import title_parts
 from halfstar.operators import effects as E
 from halfstar.operators import ensemble as T
@@ -43,8 +44,8 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def similarity(df: DataFrame) -> DataFrame:
-    """Round twice so that an exact tie at the last digit falls the same way everywhere."""
-    return rounded(rounded(df, "sim", digits=10), "sim")
+    """Nine digits: shorter roundings of cosines hit exact ties too often."""
+    return rounded(df, "sim", digits=9)
 
 
 def labelled(kind: str, df: DataFrame, name: str = "kind") -> DataFrame:
@@ -99,6 +100,15 @@ def ingest_repartitioned(spark, sf_dir):
     return S.ingest_batches([rows.where(part == i) for i in range(4)], "ratings_ingested")
 
 
+def ingest_files(spark, sf_dir):
+    lines = _lines(S.ratings_from_tables(spark, sf_dir), "::")
+    source = scratch_path(spark, "rating-files")
+    lines.repartition(6).write.text(source)
+    return streaming.ingest_files(
+        spark, source, scratch_path(spark, "ingested"), scratch_path(spark, "ingest-log"), 2
+    )
+
+
 def prepare_ids(spark, sf_dir):
     rows = S.ratings_from_tables(spark, sf_dir).withColumns(
         {
@@ -342,7 +352,7 @@ def slope_one(spark, sf_dir):
 
 def slope_one_deviations(train: DataFrame) -> DataFrame:
     centred = N.center(train.select("userId", "movieId", "rating"))
-    model = N.slope_one_model(centred.drop("rating").withColumnRenamed("centred", "rating"))[0]
+    model = N.slope_one_model(centred.drop("rating").withColumnRenamed("centred", "rating"))
     return rounded(model.select("i", "j", "cnt", "dev"), "dev")
 
 
@@ -481,6 +491,9 @@ def _tree(name: str, cross_validated: bool) -> Query:
     def run(spark, sf_dir):
         p = prepare(spark, sf_dir)
         train, test, holdout = tree_split(p)
+        tree_encoder(p)
+        if cross_validated:
+            T.together(spark, [lambda: tree_fit(p, name), lambda: tree_oof(p, name)])
         out = T.performance(
             tree_fit(p, name), {"train": train, "test": test, "holdout": holdout}, name
         )
@@ -533,6 +546,7 @@ def queries() -> dict[str, Query]:
         "space_text_roundtrip": space_text_roundtrip,
         "training_log_parse": training_log_parse,
         "ingest_repartitioned": ingest_repartitioned,
+        "ingest_files": ingest_files,
         "prepare_ids": prepare_ids,
         "result_roundtrip": result_roundtrip,
         "ratings_enriched": ratings_enriched,
