@@ -194,8 +194,8 @@ def first_title_per_movie(df: DataFrame) -> DataFrame:
 
 
 def common_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Distinct keys present on both sides."""
-    return left.select(key).intersect(right.select(key))
+    """Distinct keys present on both sides; only distinct keys are shuffled."""
+    return left.select(key).distinct().intersect(right.select(key).distinct())
 
 
 def exact_quantile(counts: DataFrame, value: str, q: float) -> float:

@@ -17,29 +17,44 @@ HOT_SHARE = 1 / 2000
 SALTS = 8192
 
 _WIDTHS = {
-    T.StringType: 64,
     T.LongType: 8,
     T.DoubleType: 8,
     T.IntegerType: 4,
     T.FloatType: 4,
     T.BooleanType: 1,
 }
+# Row header, pointers and hash-table slot of a broadcast row.
+ROW_OVERHEAD = 48
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """Generous width of a row in a broadcast hash table."""
-    return 32 + sum(_WIDTHS.get(type(f.dataType), 4096) for f in schema.fields)
+def _width(kind: T.DataType) -> int:
+    if isinstance(kind, T.StructType):
+        return 16 + sum(_width(f.dataType) for f in kind.fields)
+    return _WIDTHS.get(type(kind), 8)
+
+
+def _measured_bytes(schema: T.StructType) -> Column:
+    """Aggregate: bytes of all rows, with strings and arrays counted by content."""
+    total = F.count("*") * (ROW_OVERHEAD + sum(_width(f.dataType) for f in schema.fields))
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            total = total + F.coalesce(F.sum(F.octet_length(field.name)), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType):
+            cells = F.coalesce(F.sum(F.size(field.name)), F.lit(0))
+            total = total + cells * _width(field.dataType.elementType)
+    return total
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A written table with one row per key and the fact rows behind each key."""
+    """A written table with one row per key, the fact rows behind each key, and its size."""
 
     df: DataFrame
     key: str
     weight: str
     rows: int
     total: int
+    size: int
     broadcast_bytes: int = BROADCAST_BYTES
 
     @staticmethod
@@ -52,16 +67,18 @@ class KeyedTable:
     def of_written(
         written: DataFrame, key: str, weight: str = "n", broadcast_bytes: int = BROADCAST_BYTES
     ) -> KeyedTable:
-        size = written.agg(
-            F.count("*").alias("rows"), F.coalesce(F.sum(weight), F.lit(0)).alias("total")
+        found = written.agg(
+            F.count("*").alias("rows"),
+            F.coalesce(F.sum(weight), F.lit(0)).alias("total"),
+            _measured_bytes(written.schema).alias("size"),
         ).first()
         return KeyedTable(
-            written, key, weight, size["rows"], int(size["total"]), broadcast_bytes
+            written, key, weight, found["rows"], int(found["total"]), found["size"], broadcast_bytes
         )
 
     @property
     def is_small(self) -> bool:
-        return self.rows * row_bytes(self.df.schema) <= self.broadcast_bytes
+        return self.size <= self.broadcast_bytes
 
 
 def lookup(

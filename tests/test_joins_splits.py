@@ -87,6 +87,22 @@ def test_known_unknown_hides_two_per_test_user(spark, skewed):
         assert r["hidden"] == (0 if r["train"] else min(2, r["n"]))
 
 
+def test_top_k_per_key_is_cut_before_the_shuffle(spark, skewed):
+    from halfstar.operators.neighbours import nearest
+
+    pairs = skewed.select(
+        F.col("userId").alias("i"), F.col("movieId").alias("j"), F.col("rating").alias("sim"))
+    plan = nearest(pairs, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+
+
+def test_broadcast_size_is_measured(spark):
+    df = spark.createDataFrame([(1, 1, "x" * 1000, [1.0] * 500)], "k int, n int, s string, a array<double>")
+    table = J.KeyedTable.build(df, "k")
+    assert 5000 <= table.size < 6000
+    assert not dataclasses.replace(table, broadcast_bytes=4999).is_small
+
+
 def test_share_split_and_folds(spark, skewed):
     a, b = Z.share_split(skewed, 0.7, "x")
     assert a.count() + b.count() == skewed.count() and a.intersect(b).count() == 0
