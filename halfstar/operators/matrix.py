@@ -14,7 +14,7 @@ from halfstar.operators.blocks import pair_sums
 from halfstar.operators.explore import counts_by, exact_quantile
 from halfstar.operators.ids import dense_table, with_dense
 from halfstar.operators.joins import KeyedTable, keep_keys, lookup
-from halfstar.session import materialise
+from halfstar.session import materialise, packed
 
 
 def rating_matrix(ratings: DataFrame) -> DataFrame:
@@ -120,10 +120,10 @@ def indexed_rows(matrix: DataFrame, columns: int) -> DataFrame:
     The solver passes over the rows once per iteration; reading them from the
     written table keeps Python out of that loop.
     """
-    packed = matrix.groupBy("u").agg(
+    profiles = matrix.groupBy("u").agg(
         F.sort_array(F.collect_list(F.struct((F.col("i") - 1).alias("i"), "x"))).alias("cells")
     )
-    rows = packed.select("u", "cells.i", "cells.x").rdd.map(
+    rows = profiles.select("u", "cells.i", "cells.x").rdd.map(
         lambda r: (r[0] - 1, SparseVector(columns, r[1], r[2]))
     )
     schema = T.StructType(
@@ -135,7 +135,7 @@ def indexed_rows(matrix: DataFrame, columns: int) -> DataFrame:
 def svd(matrix: DataFrame, values: int) -> SingularValueDecomposition:
     """Truncated SVD of the matrix on the cluster; users are the rows."""
     columns = matrix.agg(F.max("i")).first()[0]
-    rows = indexed_rows(matrix, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = packed(indexed_rows(matrix, columns)).persist(StorageLevel.MEMORY_AND_DISK)
     result = IndexedRowMatrix(rows, numCols=columns).computeSVD(values, computeU=True)
     rows.unpersist()
     return result

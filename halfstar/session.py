@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +72,15 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+ROWS_PER_TASK = 20_000
+
+
+def packed(written: DataFrame) -> DataFrame:
+    """Read a small written table in few partitions.
+
+    For inputs of iterative solvers, which pass over the rows hundreds of times
+    and pay per task each time; a large table keeps all its partitions.
+    """
+    return written.coalesce(max(1, ceil(written.count() / ROWS_PER_TASK)))
