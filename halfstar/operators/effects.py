@@ -80,6 +80,10 @@ class EffectModel:
             value = value + (F.coalesce(part, F.lit(0.0)) if missing == "zero" else part)
         return value
 
+    def size_mb(self, effects: list[str]) -> float:
+        """Measured size of the effect tables a model needs."""
+        return sum(self.tables[name].size for name in effects) / (1 << 20)
+
     def predict(
         self, rows: DataFrame, effects: list[str], missing: str = STRICT
     ) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from time import perf_counter
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 STRICT = "strict"
 SKIP = "skip"
 
@@ -56,6 +61,12 @@ def rmse_many(df: DataFrame, predictions: dict[str, Column], mode: str = STRICT)
     return stacked.select("m.method", "m.n", "m.n_null", F.round("m.rmse", 6).alias("rmse"))
 
 
+def timed(action: Callable[[], T]) -> tuple[T, float]:
+    """Result and wall seconds of something that runs to completion."""
+    start = perf_counter()
+    return action(), perf_counter() - start
+
+
 def comparison(
     records: list[DataFrame], time_sec: dict[str, float] | None = None,
     size_mb: dict[str, float] | None = None,

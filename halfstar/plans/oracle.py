@@ -181,7 +181,7 @@ def source_queries() -> dict[str, str]:
         "prepare_ids": with_(
             RATINGS,
             """select userId as "user", movieId as item, rating from ratings
-            where userId % 50 <> 0 and movieId % 70 <> 0""",
+            where rating <> 0.5 and rating <> 5.0""",
         ),
     }
 
