@@ -5,17 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from halfstar.llm import quality, simhash, tokens
+from halfstar.llm import chat, lines, mixing, quality, simhash, tokens
 from halfstar.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_boilerplate(read(spark, sf_dir, "documents")).select("doc_id", "n_removed", "text")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(tricky).alias("text"),
+    )
+    return chat.digests(chat.windows(turns.unionByName(more)))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -27,8 +48,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash, op7_quality, op10_token_counts)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_simhash, op5_mixing, op6_chat, op7_quality, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": lines.ORACLE_SQL, "op6_chat": chat.ORACLE_SQL}
