@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halfstar.llm import chat, lines, mixing, quality, simhash, tokens
+from halfstar.llm import chat, decontaminate, licences, lines, mixing, mtree, quality, simhash, tokens, warc
 from halfstar.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_index(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -41,15 +51,42 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+_ALL = (
+    op1_line_dedup,
+    op2_simhash,
+    op3_top_k,
+    op4_warc,
+    op5_mixing,
+    op6_chat,
+    op7_quality,
+    op8_decontamination,
+    op9_licences,
+    op10_token_counts,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_simhash, op5_mixing, op6_chat, op7_quality, op10_token_counts)}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": lines.ORACLE_SQL, "op6_chat": chat.ORACLE_SQL}
+    return {
+        "op1_line_dedup": lines.ORACLE_SQL,
+        "op3_top_k": mtree.ORACLE_SQL,
+        "op4_warc": warc.ORACLE_SQL,
+        "op6_chat": chat.ORACLE_SQL,
+    }
