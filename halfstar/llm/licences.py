@@ -97,34 +97,58 @@ _WORD = re.compile(r"[^\W_]+")
 _END = re.compile(r"[.!?;:]+(?=\s|$)|\n\s*\n")
 _LINE_END = re.compile(r"[.!?;:]+(?=\s|$)|\n")
 _KNOWN = {text: name for name, text in SENTENCES.items()}
+_LONGEST = max(t.count(" ") for t in SENTENCES.values()) + 2
 _LIST_MARK = re.compile(r"^(?:\d{1,2}|[a-z])\s+")
 
 
-def sentences(text: str, end: re.Pattern) -> Iterator[tuple[int, str]]:
-    """(place in the text, normalised sentence): lower-case words with single spaces."""
+def _normal(text: str) -> str:
+    return " ".join(_WORD.findall(text.lower()))
+
+
+def _name(sentence: str) -> str | None:
+    return _KNOWN.get(sentence) or _KNOWN.get(_LIST_MARK.sub("", sentence))
+
+
+def _segments(text: str, end: re.Pattern) -> Iterator[tuple[int, int]]:
     at = 0
     for stop in end.finditer(text):
-        yield at, " ".join(_WORD.findall(text[at : stop.end()].lower()))
+        yield at, stop.end()
         at = stop.end()
-    yield at, " ".join(_WORD.findall(text[at:].lower()))
+    yield at, len(text)
+
+
+def _after_open_line(part: str) -> tuple[int, str] | None:
+    """(place, identifier) of a known sentence that ends ``part`` and begins with one of its lines."""
+    cut = part.rfind("\n")
+    while cut >= 0:
+        sentence = _normal(part[cut:])
+        if sentence.count(" ") >= _LONGEST:
+            return None
+        if name := _name(sentence):
+            return cut, name
+        cut = part.rfind("\n", 0, cut)
+    return None
 
 
 def identifiers(text: str) -> list[tuple[int, str | None]]:
     """The sentence sequence as (place, identifier or None).
 
     A licence text may be wrapped over lines, and a notice may stand on a line
-    of its own, so sentences are cut with and without line ends; a place where
-    only one of the two readings knows the sentence takes that reading.
+    of its own or follow a line without a full stop. So sentences are cut with
+    and without line ends, and a reading that knows a sentence is preferred.
     """
     found: dict[int, str | None] = {}
-    for end in (_LINE_END, _END):
-        for at, sentence in sentences(text, end):
-            if not sentence:
-                continue
-            name = _KNOWN.get(sentence) or _KNOWN.get(_LIST_MARK.sub("", sentence))
-            start = _WORD.search(text, at).start()
-            if name or end is _END:
-                found[start] = name or found.get(start)
+    for at, stop in _segments(text, _LINE_END):
+        if name := _name(_normal(text[at:stop])):
+            found[_WORD.search(text, at).start()] = name
+    for at, stop in _segments(text, _END):
+        sentence = _normal(text[at:stop])
+        if not sentence:
+            continue
+        start = _WORD.search(text, at).start()
+        found[start] = found.get(start) or _name(sentence)
+        if not found[start] and (late := _after_open_line(text[at:stop])):
+            found[_WORD.search(text, at + late[0]).start()] = late[1]
     return sorted(found.items())
 
 
