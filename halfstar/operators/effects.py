@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from halfstar.operators.evaluate import STRICT, rmse_many
+from halfstar.operators.evaluate import SKIP, STRICT, rmse_many
 from halfstar.operators.joins import KeyedTable, lookup
 from halfstar.session import materialise
 
@@ -135,7 +135,11 @@ def compare_effects(
     model: EffectModel, holdout: DataFrame, methods: dict[str, list[str]] | None = None,
     missing: str = STRICT,
 ) -> DataFrame:
-    """RMSE of several effect models from one scan of the holdout."""
+    """RMSE of several effect models from one scan of the holdout.
+
+    ``missing`` says what a key unseen in training does: ``strict`` voids the
+    figure, ``skip`` leaves the row out, ``zero`` counts its effect as nothing.
+    """
     methods = methods or METHODS
     needed = [n for n in KEYS if any(n in effects for effects in methods.values())]
     rows = holdout.select("rating", *[KEYS[n] for n in needed])
@@ -143,4 +147,5 @@ def compare_effects(
     return rmse_many(
         scored,
         {name: model.prediction(effects, missing) for name, effects in methods.items()},
+        SKIP if missing == SKIP else STRICT,
     )

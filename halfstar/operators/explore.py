@@ -29,14 +29,14 @@ def genre_combinations(df: DataFrame) -> DataFrame:
 
 
 def genre_counts(df: DataFrame) -> DataFrame:
-    """Ratings per single genre.
+    """Ratings per single genre; movies without genres are a NULL group.
 
     Counting whole combinations first means only distinct combinations are
     exploded, not ratings.
     """
     return (
         genre_combinations(df)
-        .select(F.explode(genre_array(F.col("genres"))).alias("genres"), "count")
+        .select(F.explode_outer(genre_array(F.col("genres"))).alias("genres"), "count")
         .groupBy("genres")
         .agg(F.sum("count").alias("count"))
     )

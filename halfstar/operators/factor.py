@@ -3,30 +3,38 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from halfstar.operators.evaluate import SKIP, rmse
 from halfstar.operators.joins import KeyedTable, lookup
 from halfstar.operators.split import fold_of
-from halfstar.session import checkpoint_dir
+from halfstar.session import checkpoint_dir, materialise
 
 SEED = 42
+# Ratings behind one user or item block of the solver.
+ROWS_PER_BLOCK = 200_000
 
 
 def estimator(
     df: DataFrame, rank: int = 10, reg: float = 0.1, iterations: int = 5,
     user: str = "userId", item: str = "movieId", rating: str = "rating",
 ) -> ALS:
-    """ALS whose block count follows the cluster and whose lineage is checkpointed."""
+    """ALS whose block count follows the data and whose lineage is checkpointed.
+
+    A pair without a vector scores NaN, which ``scored`` turns into NULL, so
+    it is counted and not dropped.
+    """
     checkpoint_dir(df.sparkSession)
-    blocks = max(10, df.sparkSession.sparkContext.defaultParallelism)
+    blocks = max(2, ceil(df.count() / ROWS_PER_BLOCK))
     return ALS(
         rank=rank, regParam=reg, maxIter=iterations, userCol=user, itemCol=item,
-        ratingCol=rating, coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks,
+        ratingCol=rating, coldStartStrategy="nan", numUserBlocks=blocks, numItemBlocks=blocks,
         checkpointInterval=5, seed=SEED,
     )
 
@@ -68,25 +76,41 @@ def fit(train: DataFrame, **params) -> Factors:
     return Factors.of(estimator(rows, **params).fit(rows), rows)
 
 
+def scored(model: ALSModel, rows: DataFrame, name: str = "pred") -> DataFrame:
+    """``rows`` with the model's prediction; NULL where user or movie has no vector."""
+    out = model.transform(rows)
+    value = F.when(~F.isnan("prediction"), F.col("prediction").cast("double"))
+    return out.withColumn(name, value).drop("prediction")
+
+
 def grid_search(
     train: DataFrame, ranks: list[int], regs: list[float], iterations: int = 10, folds: int = 3,
     parallelism: int = 4,
-) -> tuple[ALSModel, DataFrame]:
-    """Cross-validated grid; returns the best model and ``(rank, reg, rmse, is_best)``."""
-    rows = train.select("userId", "movieId", "rating", fold_of(folds).alias("fold"))
-    als = estimator(rows, iterations=iterations)
-    grid = ParamGridBuilder().addGrid(als.rank, ranks).addGrid(als.regParam, regs).build()
-    search = CrossValidator(
-        estimator=als, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", parallelism=parallelism,
-        evaluator=RegressionEvaluator(labelCol="rating", predictionCol="prediction"), seed=SEED,
-    ).fit(rows)
-    least = min(range(len(grid)), key=lambda i: search.avgMetrics[i])
-    table = [
-        (p[als.rank], p[als.regParam], float(m), i == least)
-        for i, (p, m) in enumerate(zip(grid, search.avgMetrics))
-    ]
-    return search.bestModel, train.sparkSession.createDataFrame(
-        table, "rank int, reg double, rmse double, is_best boolean"
+) -> tuple[dict, DataFrame]:
+    """Cross-validated grid; the best parameters and ``(rank, reg, rmse, n_null, is_best)``.
+
+    A held-out row whose user or movie has no vector has no error; ``n_null``
+    counts such rows over all folds. ``parallelism`` fits run at a time.
+    """
+    rows = materialise(train.select("userId", "movieId", "rating", fold_of(folds).alias("fold")), "grid-rows")
+    points = [{"rank": rank, "reg": reg} for rank in ranks for reg in regs]
+
+    def error(task: tuple[dict, int]) -> tuple[float, int]:
+        point, fold = task
+        inside = rows.where(F.col("fold") != fold)
+        model = estimator(inside, iterations=iterations, **point).fit(inside)
+        found = rmse(scored(model, rows.where(F.col("fold") == fold)), mode=SKIP).first()
+        return found["rmse"], found["n_null"]
+
+    tasks = [(p, f) for p in points for f in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        errors = pool.map(inheritable_thread_target(train.sparkSession)(error), tasks)
+    mean = [sum(e for e, _ in errors[i : i + folds]) / folds for i in range(0, len(tasks), folds)]
+    missing = [sum(n for _, n in errors[i : i + folds]) for i in range(0, len(tasks), folds)]
+    least = min(range(len(points)), key=lambda i: mean[i])
+    table = [(p["rank"], p["reg"], float(m), n, i == least) for i, (p, m, n) in enumerate(zip(points, mean, missing))]
+    return points[least], train.sparkSession.createDataFrame(
+        table, "rank int, reg double, rmse double, n_null long, is_best boolean"
     )
 
 
@@ -103,17 +127,20 @@ def objective(factors: Factors, scored: DataFrame, reg: float) -> DataFrame:
 
 
 def training_curve(
-    train: DataFrame, iterations: list[int], rank: int = 10, reg: float = 0.1
+    train: DataFrame, iterations: list[int], rank: int = 10, reg: float = 0.1, parallelism: int = 6
 ) -> DataFrame:
     """``(iter, tr_rmse, obj)`` after each number of sweeps.
 
-    The solver has no warm start, so every point is a fit of its own; keep the
-    list short.
+    The solver has no warm start, so every point is a fit of its own; they are
+    independent and ``parallelism`` of them run at a time.
     """
-    rows = train.select("userId", "movieId", "rating")
-    points = []
-    for sweeps in iterations:
+    rows = materialise(train.select("userId", "movieId", "rating"), "curve-rows")
+
+    def point(sweeps: int) -> tuple[int, float, float]:
         factors = fit(rows, rank=rank, reg=reg, iterations=sweeps)
-        point = objective(factors, factors.score(rows), reg).first()
-        points.append((sweeps, point["tr_rmse"], point["obj"]))
+        found = objective(factors, factors.score(rows), reg).first()
+        return sweeps, found["tr_rmse"], found["obj"]
+
+    with ThreadPool(parallelism) as pool:
+        points = pool.map(inheritable_thread_target(train.sparkSession)(point), iterations, chunksize=1)
     return train.sparkSession.createDataFrame(points, "iter int, tr_rmse double, obj double")

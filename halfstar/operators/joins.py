@@ -81,6 +81,16 @@ class KeyedTable:
         return self.size <= self.broadcast_bytes
 
 
+def heavy_keys(fact: DataFrame, on: str) -> DataFrame:
+    """Written table of the keys that hold more than HOT_SHARE of the rows of ``fact``.
+
+    There are at most 1 / HOT_SHARE of them. The counts are combined on the map side.
+    """
+    counts = materialise(fact.groupBy(F.col(on).alias("__k")).agg(F.count("*").alias("__n")), f"counts-{on}")
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    return materialise(counts.where(F.col("__n") > HOT_SHARE * total).select("__k"), f"heavy-{on}")
+
+
 def lookup(
     fact: DataFrame, table: KeyedTable, values: list[str | Column] | None = None,
     on: str | None = None,
@@ -88,9 +98,10 @@ def lookup(
     """Left join a unique-key table; a NULL key matches a NULL key.
 
     A small table is broadcast, so the fact is not shuffled. Beyond the size
-    limit the few hot keys (their number is bounded by HOT_SHARE) are broadcast
-    and the rest is joined by shuffle; rows already served by a hot key are
-    salted so that they spread evenly instead of meeting in one task.
+    limit the heavy keys of the fact (their number is bounded by HOT_SHARE) are
+    counted and broadcast with their values, and the rest is joined by shuffle.
+    Rows with a heavy key are salted, whether the table holds the key or not,
+    so that they spread evenly instead of meeting in one task.
     """
     on = on or table.key
     if values is None:
@@ -105,16 +116,17 @@ def lookup(
             F.broadcast(keyed.drop("__w")), F.col(on).eqNullSafe(F.col("__k")), "left"
         ).drop("__k")
 
-    cut = HOT_SHARE * table.total
-    hot = keyed.where(F.col("__w") > cut).select(
-        "__k", F.lit(True).alias("__hot"), *[F.col(n).alias(f"__hot_{n}") for n in names]
+    heavy = heavy_keys(fact, on).withColumnRenamed("__k", "__hk")
+    held = keyed.drop("__w").join(F.broadcast(heavy), F.col("__k").eqNullSafe(F.col("__hk")), "left_semi")
+    hot = heavy.join(held, F.col("__hk").eqNullSafe(F.col("__k")), "left").select(
+        "__hk", F.lit(True).alias("__hot"), *[F.col(n).alias(f"__hot_{n}") for n in names]
     )
-    # weight * 0 keeps the constant out of the optimiser's reach: the salt must
+    # coalesce keeps the constant out of the optimiser's reach: the salt must
     # stay one of the shuffle keys.
-    cold = keyed.where(F.col("__w") <= cut).select(
-        F.col("__k").alias("__ck"), (F.col("__w") * 0).cast("int").alias("__zero"), *names
+    cold = keyed.select(
+        F.col("__k").alias("__ck"), (F.coalesce("__w", F.lit(0)) * 0).cast("int").alias("__zero"), *names
     )
-    marked = fact.join(F.broadcast(hot), F.col(on).eqNullSafe(F.col("__k")), "left").withColumn(
+    marked = fact.join(F.broadcast(hot), F.col(on).eqNullSafe(F.col("__hk")), "left").withColumn(
         "__salt",
         F.when(F.col("__hot"), 1 + F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)))
         .otherwise(0)

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.mllib.linalg import SparseVector, VectorUDT
+from pyspark.ml.functions import vector_to_array
+from pyspark.mllib.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix, SingularValueDecomposition
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from halfstar.functions import round_half_even
 from halfstar.operators.blocks import pair_sums
 from halfstar.operators.explore import counts_by, exact_quantile
 from halfstar.operators.ids import dense_table, with_dense
 from halfstar.operators.joins import KeyedTable, keep_keys, lookup
-from halfstar.session import materialise, packed
+from halfstar.session import packed, scratch_path
 
 
 def rating_matrix(ratings: DataFrame) -> DataFrame:
@@ -96,8 +96,7 @@ def support_limits(ratings: DataFrame, q_users: float = 0.90, q_movies: float =
     for key, q in (("userId", q_users), ("movieId", q_movies)):
         counts = KeyedTable.build(counts_by(ratings, key, key).withColumnRenamed("count", "n"), key)
         limit = exact_quantile(counts.df, "n", q)
-        out.append((counts, counts.df.sparkSession.range(1).select(
-            round_half_even(F.lit(limit), 0).alias("q")).first()["q"]))
+        out.append((counts, round(limit)))  # half goes to the even number
     return out
 
 
@@ -117,30 +116,58 @@ def relevant_ratings(
 def indexed_rows(matrix: DataFrame, columns: int) -> DataFrame:
     """Written table of ``(index, vector)``, one sparse row per user.
 
-    The solver passes over the rows once per iteration; reading them from the
-    written table keeps Python out of that loop.
+    A vector is stored as a plain struct, so it is put together by column
+    functions and read back under the vector type; no row passes through Python.
     """
     profiles = matrix.groupBy("u").agg(
-        F.sort_array(F.collect_list(F.struct((F.col("i") - 1).alias("i"), "x"))).alias("cells")
+        F.sort_array(F.collect_list(F.struct((F.col("i") - 1).cast("int").alias("i"), "x"))).alias("cells")
     )
-    rows = profiles.select("u", "cells.i", "cells.x").rdd.map(
-        lambda r: (r[0] - 1, SparseVector(columns, r[1], r[2]))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(columns).cast("int").alias("size"),
+        F.col("cells.i").alias("indices"),
+        F.col("cells.x").cast("array<double>").alias("values"),
     )
-    schema = T.StructType(
-        [T.StructField("index", T.LongType()), T.StructField("vector", VectorUDT())]
-    )
-    return materialise(matrix.sparkSession.createDataFrame(rows, schema), "rows")
+    rows = profiles.select((F.col("u") - 1).cast("long").alias("index"), vector.alias("vector"))
+    path = scratch_path(matrix.sparkSession, "rows")
+    rows.write.parquet(path)
+    schema = T.StructType([T.StructField("index", T.LongType()), T.StructField("vector", VectorUDT())])
+    return matrix.sparkSession.read.schema(schema).parquet(path)
+
 
+def svd(
+    matrix: DataFrame, values: int, left: bool = False
+) -> SingularValueDecomposition:
+    """Truncated SVD of the matrix on the cluster; users are the rows.
 
-def svd(matrix: DataFrame, values: int) -> SingularValueDecomposition:
-    """Truncated SVD of the matrix on the cluster; users are the rows."""
+    At most as many ``values`` as there are columns. ``left`` asks for the user
+    vectors as well, which costs one more pass.
+    """
     columns = matrix.agg(F.max("i")).first()[0]
     rows = packed(indexed_rows(matrix, columns)).persist(StorageLevel.MEMORY_AND_DISK)
-    result = IndexedRowMatrix(rows, numCols=columns).computeSVD(values, computeU=True)
-    rows.unpersist()
+    result = IndexedRowMatrix(rows, numCols=columns).computeSVD(min(values, columns), computeU=left)
+    if not left:
+        rows.unpersist()
     return result
 
 
+def factor_tables(spark, found: SingularValueDecomposition, k: int) -> dict[str, DataFrame]:
+    """The leading ``k`` left vectors, values and right vectors as tables ``(idx, vector)``.
+
+    The left vectors stay distributed; the right ones are as long as the
+    number of movies and lie on the driver, as the solver leaves them.
+    """
+    left = found.U.rows.toDF().select(
+        (F.col("index") + 1).alias("idx"), F.slice(vector_to_array("vector"), 1, k).alias("vector")
+    )
+    values = [(i + 1, [float(x)]) for i, x in enumerate(found.s.toArray()[:k])]
+    right = [(i + 1, row[:k].tolist()) for i, row in enumerate(found.V.toArray())]
+    schema = "idx long, vector array<double>"
+    return {
+        "U": left, "D": spark.createDataFrame(values, schema), "V": spark.createDataFrame(right, schema)
+    }
+
+
 def energy_table(spark, sigma: list[float], total: float | None = None) -> DataFrame:
     """``(k, sigma, share)``: cumulative share of squared singular values.
 

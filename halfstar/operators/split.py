@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halfstar.functions import split_hash
-from halfstar.operators.joins import KeyedTable, anti_join_all, lookup, semi_join
+from halfstar.operators.joins import KeyedTable, lookup, semi_join, support_table
 from halfstar.session import materialise
 
 
@@ -72,8 +72,12 @@ def consistent_holdout(train: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def removed_rows(train: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Candidates that did not survive; compared on all common columns."""
-    return anti_join_all(candidates, consistent_holdout(train, candidates))
+    """Candidates that did not survive: their movie or their user is not in ``train``."""
+    marked = candidates
+    for key in ("movieId", "userId"):
+        marked = lookup(marked, support_table(train, key), [F.lit(True).alias(f"__has_{key}")])
+    lost = F.col("__has_movieId").isNull() | F.col("__has_userId").isNull()
+    return marked.where(lost).select(*candidates.columns)
 
 
 def final_train(train: DataFrame, candidates: DataFrame) -> DataFrame:

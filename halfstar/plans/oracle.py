@@ -61,6 +61,16 @@ scored as (
   left join bt on h.week = bt.week, mu)"""
 
 
+# Some rows moved to a user, a movie or a week of their own.
+REKEYED = f"""{RATINGS.replace("ratings as", "plain as")},
+hashed as (select *, {ROW_HASH} as h from plain),
+ratings as (
+  select cast(case when h % 50 = 7 then 2000000 + h % 100000000 else userId end as integer) as userId,
+         cast(case when h % 50 = 8 then 2000000 + h % 100000000 else movieId end as integer) as movieId,
+         rating, case when h % 50 = 9 then "timestamp" + 604800 * (2000 + h % 500) else "timestamp" end as "timestamp"
+  from hashed)"""
+
+
 def with_(ctes: str, body: str) -> str:
     return f"with {ctes}\n{body}"
 
@@ -207,7 +217,7 @@ def explore_queries() -> dict[str, str]:
         group by bin"""
 
     as_double = "cast(n as double)"
-    genre_rows = "select unnest(string_split(genres, '|')) as genres from train"
+    genre_rows = "select unnest(coalesce(string_split(genres, '|'), [null])) as genres from train"
     weekly = "select week, avg(rating) as rating from train group by week"
     dense_users = "select userId, dense_rank() over (order by userId) as idx from train"
     return {
@@ -364,7 +374,7 @@ trained as (select * from seen where part = 'train'),
 known as (select * from seen where part = 'known')"""
 
 
-def neighbour_queries(k: int = 20) -> dict[str, str]:
+def neighbour_queries(k: int = 350) -> dict[str, str]:
     hidden = "select h.userId, h.movieId, h.rating, round(coalesce(h.mean, mean_all)"
     centred = f"""{FACT},
     means as (select userId, avg(rating) as mean from train group by userId),
@@ -422,6 +432,75 @@ def neighbour_queries(k: int = 20) -> dict[str, str]:
     }
 
 
+SPLIT_SALTED = SPLIT_HASH.format("userId", ", cast(movieId as varchar), '{salt}'")
+
+
+def further_queries() -> dict[str, str]:
+    neighbours = neighbour_queries()
+    relevant = """relevant as (
+      select * from train
+      where userId in (select userId from train group by userId having count(*) > (
+          select round_even(quantile_cont(n, 0.90), 0) from (
+            select cast(count(*) as double) as n from train group by userId)))
+        and movieId in (select movieId from train group by movieId having count(*) > (
+          select round_even(quantile_cont(n, 0.75), 0) from (
+            select cast(count(*) as double) as n from train group by movieId)))),
+    numbered as ("""
+    errors = []
+    for method, name in (("popular", "cf_popular"), ("user based", "cf_user_based"), ("item based", "cf_item_based")):
+        inner = neighbours[name].replace("numbered as (", relevant, 1).replace(" as h from train)", " as h from relevant)", 1)
+        inner = inner.replace(", 6) as pred", ", 12) as pred")
+        errors.append(f"""select '{method}' as method, count(*) as n, count(*) - count(pred) as n_null,
+          round(sqrt(avg(power(rating - pred, 2))), 6) as rmse from ({inner})""")
+    splits = []
+    for name, limit, salt in (("70/30", 700, "trees"), ("90/10", 900, "latent")):
+        h = SPLIT_SALTED.format(salt=salt)
+        splits.append(f"""select '{name}' as split, case when ({h}) % 1000 < {limit} then 'first' else 'second' end as side,
+          userId, movieId from train""")
+    six = 'userId, movieId, rating, "timestamp", title, genres'
+    picks = []
+    for among, pairs in (
+        ("all", "select u.userId, i.movieId, mu + b_u + b_i as score from bu u, bi i, mu"),
+        ("unseen", """select u.userId, i.movieId, mu + b_u + b_i as score from bu u cross join bi i cross join mu
+                      anti join train t on t.userId = u.userId and t.movieId = i.movieId"""),
+    ):
+        for pick, order in (("top", "desc"), ("bottom", "asc")):
+            picks.append(f"""select '{among}' as among, userId, '{pick}' as pick, cast(rank as integer) as rank, movieId,
+              round_even(score, 2) as predicted_rating from (
+                select *, row_number() over (partition by userId order by round(score, 9) {order}, movieId) as rank
+                from ({pairs})) where rank <= 10""")
+    rekeyed_fact, rekeyed_effects = (text.replace(RATINGS, REKEYED, 1) for text in (FACT, EFFECTS))
+    timed = "mu + b_i + b_u + b_t"
+    name = EFFECT_PREDICTIONS["effect_time"][0]
+    modes = {
+        "strict": f"case when count(*) = count({timed}) then sqrt(avg(power(rating - ({timed}), 2))) end",
+        "skip": f"sqrt(avg(power(rating - ({timed}), 2)))",
+        "zero": "sqrt(avg(power(rating - (mu + coalesce(b_i, 0) + coalesce(b_u, 0) + coalesce(b_t, 0)), 2)))",
+    }
+    return {
+        "cf_rmse": "\nunion all\n".join(errors),
+        "share_splits": with_(FACT, "\nunion all\n".join(splits)),
+        "picked_user": with_(FACT, f"""
+            select (select count(*) from holdout) as rows, userId from holdout order by {USER_HASH}, userId limit 1"""),
+        "rating_range": with_(FACT, "select min(rating) as least, max(rating) as most from train"),
+        "recommend_batch": with_(EFFECTS, "\nunion all\n".join(picks)),
+        "factor_score_effects": with_(EFFECTS, """
+            select userId, movieId, rating, round(b_u + mu + b_i, 6) as pred from scored"""),
+        "rekeyed_removed": with_(rekeyed_fact, f"select {six} from removed"),
+        "rekeyed_anti_join": with_(rekeyed_fact, f"select {six} from removed"),
+        "rekeyed_holdout": with_(rekeyed_fact, """
+            select userId, movieId, false as holdout from train0
+            union all select userId, movieId, true from holdout0"""),
+        "rekeyed_effect_time": with_(rekeyed_effects, "\nunion all\n".join(
+            f"""select '{mode}' as missing, '{name}' as method, count(*) as n,
+              {"0" if mode == "zero" else f"count(*) - count({timed})"} as n_null,
+              round({value}, 6) as rmse from scored""" for mode, value in modes.items())),
+        "rekeyed_top_genres": with_(rekeyed_fact, """
+            select genres, count(*) as count from (
+              select unnest(coalesce(string_split(genres, '|'), [null])) as genres from train) group by genres"""),
+    }
+
+
 def serving_queries(k: int = 10) -> dict[str, str]:
     ranked = " union all ".join(
         f"""select * from (select '{pick}' as pick, row_number() over (
@@ -447,4 +526,5 @@ def oracle_sql() -> dict[str, str]:
         **matrix_queries(),
         **neighbour_queries(),
         **serving_queries(),
+        **further_queries(),
     }

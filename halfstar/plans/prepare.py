@@ -51,17 +51,9 @@ class Prepared:
 
 
 def enrich(ratings: DataFrame, movies: DataFrame) -> DataFrame:
-    """Left join ratings with movies; hot movies stay spread.
-
-    Support per movie is counted only when the movies are too large to broadcast.
-    """
+    """Left join ratings with movies; hot movies stay spread, listed or not."""
     columns = movies.select("movieId", "title", "genres")
-    table = KeyedTable.build(columns.withColumn("n", F.lit(0)), "movieId")
-    if not table.is_small:
-        weights = ratings.groupBy("movieId").agg(F.count("*").alias("n"))
-        weighted = columns.join(weights, "movieId", "left").fillna(0, ["n"])
-        table = KeyedTable.build(weighted, "movieId")
-    return lookup(ratings, table)
+    return lookup(ratings, KeyedTable.build(columns.withColumn("n", F.lit(0)), "movieId"))
 
 
 def build(spark: SparkSession, ratings: DataFrame, movies: DataFrame) -> Prepared:

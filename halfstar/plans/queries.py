@@ -24,8 +24,8 @@ from halfstar.operators import regularise as R
 from halfstar.operators import split as Z
 from halfstar.operators.evaluate import SKIP, comparison, result_record, timed
 from halfstar.operators.ids import dense_ids, dense_table, support_features, with_dense
-from halfstar.operators.joins import natural_inner_join, semi_join
-from halfstar.plans.prepare import Prepared, enrich, prepare
+from halfstar.operators.joins import KeyedTable, anti_join_all, natural_inner_join, semi_join
+from halfstar.plans.prepare import Prepared, build, enrich, prepare
 from halfstar.session import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,8 +34,8 @@ SIX = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 
 # Support thresholds that suit the test tables.
 GENRE_MIN, YEAR_MIN, HISTOGRAM_BELOW, GENRE_MORE_THAN = 100, 500, 40, 100
-SVD_VALUES, NEIGHBOURS = 20, 20
-MF_RANKS, MF_REGS, CURVE_ITERATIONS = [10, 20, 30], [0.1, 0.2], [1, 2, 3, 4, 5]
+SVD_VALUES, NEIGHBOURS = 100, 350
+MF_RANKS, MF_REGS, CURVE_ITERATIONS = [10, 20, 30], [0.1, 0.2], list(range(1, 31))
 FOUR_WEEKS = 4 * 7 * 86400
 
 
@@ -172,6 +172,77 @@ def known_unknown_split(spark, sf_dir):
     return Z.known_unknown(prepare(spark, sf_dir).train.select("userId", "movieId"))
 
 
+def share_splits(spark, sf_dir):
+    """Which side of the 70 / 30 and of the 90 / 10 split a training row is on."""
+    rows = prepare(spark, sf_dir).train.select("userId", "movieId")
+    parts = []
+    for name, share, salt in (("70/30", 0.7, "trees"), ("90/10", 0.9, "latent")):
+        for side, df in zip(("first", "second"), Z.share_split(rows, share, salt)):
+            parts.append(df.select(F.lit(name).alias("split"), F.lit(side).alias("side"), "userId", "movieId"))
+    return union(*parts)
+
+
+def picked_user(spark, sf_dir):
+    return prepare(spark, sf_dir).holdout.groupBy().agg(
+        F.count("*").alias("rows"), F.lit(Z.pick_user(prepare(spark, sf_dir).holdout)).alias("userId")
+    )
+
+
+def rekeyed_ratings(spark, sf_dir) -> DataFrame:
+    """Every rating, some of them moved to a user, a movie or a week of their own.
+
+    The plain tables have no user, movie or week that a split takes away whole.
+    """
+    h = Z.row_hash()
+    key = h % 50
+    return S.ratings_from_tables(spark, sf_dir).select(
+        F.when(key == 7, 2_000_000 + h % 100_000_000).otherwise(F.col("userId")).cast("int").alias("userId"),
+        F.when(key == 8, 2_000_000 + h % 100_000_000).otherwise(F.col("movieId")).cast("int").alias("movieId"),
+        "rating",
+        F.when(key == 9, F.col("timestamp") + 604800 * (2000 + h % 500)).otherwise(F.col("timestamp")).alias("timestamp"),
+    )
+
+
+def rekeyed(spark, sf_dir) -> Prepared:
+    plain = prepare(spark, sf_dir)
+    return plain.fitted(
+        "rekeyed", lambda: build(spark, rekeyed_ratings(spark, sf_dir), S.movies_from_tables(spark, sf_dir))
+    )
+
+
+def rekeyed_removed(spark, sf_dir):
+    rows = enrich(rekeyed_ratings(spark, sf_dir), S.movies_from_tables(spark, sf_dir)).select(SIX)
+    return Z.removed_rows(*Z.split_holdout(rows))
+
+
+def rekeyed_anti_join(spark, sf_dir):
+    """The same rows as what is left of the candidates once the consistent ones are taken out."""
+    rows = enrich(rekeyed_ratings(spark, sf_dir), S.movies_from_tables(spark, sf_dir)).select(SIX)
+    train, candidates = Z.split_holdout(rows)
+    return anti_join_all(candidates, Z.consistent_holdout(train, candidates))
+
+
+def rekeyed_holdout(spark, sf_dir):
+    return rekeyed(spark, sf_dir).fact.select("userId", "movieId", "holdout")
+
+
+def rekeyed_effect_time(spark, sf_dir):
+    """The time effect where some holdout weeks have no training row, in the three ways to count them."""
+    p = rekeyed(spark, sf_dir)
+    model = p.fitted("all", lambda: E.fit_all(p.train))
+    method = "Movie + User + Time Effects"
+    return union(
+        *[
+            labelled(mode, E.compare_effects(model, p.holdout, {method: E.METHODS[method]}, mode), "missing")
+            for mode in ("strict", "skip", "zero")
+        ]
+    )
+
+
+def rekeyed_top_genres(spark, sf_dir):
+    return X.top_genres(rekeyed(spark, sf_dir).train)
+
+
 def kfold_counts(spark, sf_dir):
     train = prepare(spark, sf_dir).train
     return union(
@@ -343,6 +414,18 @@ def svd_energy(spark, sf_dir):
     return M.energy_table(spark, sigma).join(whole, "k")
 
 
+def svd_factors(spark, sf_dir):
+    """Rows and length of the left vectors, values and right vectors that hold 90 % of the energy."""
+    found = M.svd(train_matrix(prepare(spark, sf_dir)), SVD_VALUES, left=True)
+    k = max(1, M.choose_k(M.energy_table(spark, found.s.toArray().tolist())))
+    return union(
+        *[
+            labelled(name, df.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("k")))
+            for name, df in M.factor_tables(spark, found, k).items()
+        ]
+    )
+
+
 # --- neighbours and rules ------------------------------------------------------------
 
 
@@ -360,6 +443,25 @@ def _cf(method: str, score: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+CF_METHODS = {
+    "popular": N.popular,
+    "user based": lambda parts: N.user_based(parts, NEIGHBOURS),
+    "item based": lambda parts: N.item_based(parts, NEIGHBOURS),
+}
+
+
+def cf_rmse(spark, sf_dir):
+    """The collaborative filters on relevant ratings, scored on the hidden ones."""
+    p = prepare(spark, sf_dir)
+
+    def build():
+        rows = M.relevant_ratings(p.train.select("userId", "movieId", "rating"))
+        return materialise(Z.known_unknown(rows), "cf-relevant", ["part"])
+
+    parts = p.fitted("cf relevant", build)
+    return union(*[result_record(score(parts), method) for method, score in CF_METHODS.items()])
+
+
 def slope_one(spark, sf_dir):
     p = prepare(spark, sf_dir)
     return rounded(N.slope_one(p.train, p.holdout), "pred")
@@ -410,14 +512,33 @@ def als_rank20(spark, sf_dir):
     return _record("ALS rank 20", factors.score(common))
 
 
+MF_ITERATIONS = 20
+
+
+def tuned(p: Prepared) -> tuple[dict, DataFrame]:
+    """Best rank and penalty, and the grid they come from."""
+    return p.fitted("mf grid", lambda: A.grid_search(p.train, MF_RANKS, MF_REGS))
+
+
+def tuned_factors(p: Prepared) -> A.Factors:
+    """Fit with the tuned parameters, save, reload: the model that is scored and served."""
+
+    def build():
+        rows = p.train.select("userId", "movieId", "rating")
+        path = scratch_path(p.spark, "mf-model")
+        S.save_als(A.estimator(rows, iterations=MF_ITERATIONS, **tuned(p)[0]).fit(rows), path)
+        return A.Factors.of(S.load_als(path), rows)
+
+    return p.fitted("mf tuned", build)
+
+
 def mf_als(spark, sf_dir):
     p = prepare(spark, sf_dir)
-    return _record("MF", A.fit(p.train, rank=20, reg=0.1, iterations=20).score(p.holdout))
+    return _record("MF", tuned_factors(p).score(p.holdout))
 
 
 def mf_grid(spark, sf_dir):
-    _, table = A.grid_search(prepare(spark, sf_dir).train, MF_RANKS, MF_REGS)
-    return rounded(table, "rmse")
+    return rounded(tuned(prepare(spark, sf_dir))[1], "rmse")
 
 
 def mf_from_text(spark, sf_dir):
@@ -428,7 +549,8 @@ def mf_from_text(spark, sf_dir):
         path = scratch_path(spark, f"{name}-text")
         S.write_space_text(rows.select("userId", "movieId", "rating"), path)
         sides.append(S.read_space_text(spark, path, "userId int, movieId int, rating double"))
-    return _record("MF from text", A.fit(sides[0], rank=10, iterations=10).score(sides[1]))
+    factors = A.fit(sides[0], iterations=MF_ITERATIONS, **tuned(p)[0])
+    return _record("MF from text", factors.score(sides[1]))
 
 
 def als_training_curve(spark, sf_dir):
@@ -446,8 +568,8 @@ def model_roundtrip(spark, sf_dir):
     p = prepare(spark, sf_dir)
     path = scratch_path(spark, "als-model")
     S.save_als(als_fit(p)[0], path)
-    scored = S.load_als(path).transform(p.holdout.select("userId", "movieId", "rating"))
-    return _record("ALS rank 10, reloaded", scored.withColumnRenamed("prediction", "pred"))
+    scored = A.scored(S.load_als(path), p.holdout.select("userId", "movieId", "rating"))
+    return _record("ALS rank 10, reloaded", scored)
 
 
 def _biased(method: str, bounded: bool) -> Query:
@@ -527,6 +649,12 @@ def _both_oof(p: Prepared) -> DataFrame:
     return gbt.join(rf.select("userId", "movieId", "rf"), ["userId", "movieId"])
 
 
+def tree_importances(spark, sf_dir):
+    """How much each feature adds to the boosted model with support counts."""
+    found = tree_fit(prepare(spark, sf_dir), "gbt_support").importances()
+    return rounded(spark.createDataFrame(found, "feature string, importance double"), "importance")
+
+
 def oof_predictions(spark, sf_dir):
     return rounded(_both_oof(prepare(spark, sf_dir)), "gbt", "rf")
 
@@ -546,7 +674,35 @@ def stacked_ensemble(spark, sf_dir):
 def recommend_top_bottom(spark, sf_dir):
     p = prepare(spark, sf_dir)
     user = Z.pick_user(p.holdout)
-    return K.top_bottom(als_fit(p)[1], [user], p.movie_table)
+    return K.top_bottom(tuned_factors(p), [user], p.movie_table)
+
+
+def effect_factors(p: Prepared) -> A.Factors:
+    """The movie + user effect model as factors: (b_u, mu, 1) times (1, 1, b_i)."""
+    model = movie_user_effects(p)
+    one = F.lit(1.0)
+    users = model.tables["b_u"].df.select("userId", "n", F.array("b_u", F.lit(model.mu), one).alias("features"))
+    items = model.tables["b_i"].df.select("movieId", "n", F.array(one, one, F.col("b_i")).alias("features"))
+    return A.Factors(KeyedTable.build(users, "userId"), KeyedTable.build(items, "movieId"))
+
+
+def recommend_batch(spark, sf_dir):
+    """Picks of every user among all movies, and among those not yet rated."""
+    p = prepare(spark, sf_dir)
+    factors = p.fitted("effect factors", lambda: effect_factors(p))
+    seen = p.train.select("userId", "movieId")
+    return union(
+        *[
+            labelled(kind, K.recommend_all(factors, p.movie_table, seen=left_out), "among").drop("title", "genres", "year")
+            for kind, left_out in (("all", None), ("unseen", seen))
+        ]
+    )
+
+
+def factor_score_effects(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    factors = p.fitted("effect factors", lambda: effect_factors(p))
+    return rounded(factors.score(p.holdout.select("userId", "movieId", "rating")), "pred")
 
 
 def recommend_effects(spark, sf_dir):
@@ -642,7 +798,8 @@ def queries() -> dict[str, Query]:
         "als_training_curve": als_training_curve,
         "factor_score": factor_score,
         "model_roundtrip": model_roundtrip,
-        "gbt_support": _tree("gbt_support", False),
+        "gbt_support": _tree("gbt_support", True),
+        "tree_importances": tree_importances,
         "gbt_ids": _tree("gbt_ids", True),
         "rf_support": _tree("rf_support", False),
         "rf_ids": _tree("rf_ids", True),
@@ -652,6 +809,18 @@ def queries() -> dict[str, Query]:
         "biased_factor_linear": _biased("Biased factors, linear", False),
         "recommend_top_bottom": recommend_top_bottom,
         "recommend_effects": recommend_effects,
+        "recommend_batch": recommend_batch,
+        "factor_score_effects": factor_score_effects,
+        "svd_factors": svd_factors,
+        "cf_rmse": cf_rmse,
+        "share_splits": share_splits,
+        "picked_user": picked_user,
+        "rating_range": on_train(lambda t: t.agg(F.min("rating").alias("least"), F.max("rating").alias("most"))),
+        "rekeyed_removed": rekeyed_removed,
+        "rekeyed_anti_join": rekeyed_anti_join,
+        "rekeyed_holdout": rekeyed_holdout,
+        "rekeyed_effect_time": rekeyed_effect_time,
+        "rekeyed_top_genres": rekeyed_top_genres,
         "relevant_ratings": on_train(
             lambda t: M.relevant_ratings(t.select("userId", "movieId", "rating"))
         ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from math import ceil
@@ -42,7 +43,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="halfstar-")
     spark.conf.set(CHECKPOINT_CONF, path)

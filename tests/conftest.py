@@ -10,7 +10,7 @@ TESTDATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from halfstar.session import get_session
 
     session = get_session(
@@ -18,6 +18,7 @@ def spark():
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",

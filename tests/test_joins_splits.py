@@ -43,6 +43,24 @@ def test_large_lookup_spreads_hot_keys(spark, monkeypatch):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_large_lookup_spreads_hot_keys_the_table_lacks(spark, monkeypatch):
+    """Half of the rows have one key, which is not in the table at all."""
+    monkeypatch.setattr(J, "HOT_SHARE", 0.01)
+    fact = spark.createDataFrame([(1 if i % 2 else i, i) for i in range(4000)], "k int, i int")
+    other = value_table(fact.where("k <> 1"))
+    large = dataclasses.replace(J.KeyedTable.build(other, "k"), broadcast_bytes=0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = J.lookup(fact, large)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) < 2 * 4000 / 4
+        assert joined.where("v is null").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_anti_join_is_null_safe(spark):
     left = spark.createDataFrame([(1, "a"), (2, None)], "id int, genres string")
     right = spark.createDataFrame([(2, None)], "id int, genres string")

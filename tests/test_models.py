@@ -129,8 +129,29 @@ def test_picks_against_brute_force(planted, titles):
                 assert [m for _, m in mine] == expected
     with pytest.raises(ValueError):
         K.top_bottom(factors, [12345], titles)
-    with pytest.raises(ValueError):
-        K.top_bottom(factors, list(range(K.MAX_USERS + 1)), titles)
+
+
+def test_batch_serves_every_user_in_any_blocks(planted, titles, monkeypatch):
+    train, _ = planted
+    factors = A.fit(train, rank=3)
+    columns = ["userId", "pick", "rank", "movieId"]
+    for seen in (None, train):
+        whole = rows(K.recommend_all(factors, titles, 4, seen), *columns)
+        assert len(whole) == 8 * factors.users.rows
+        monkeypatch.setattr(K, "USER_BLOCK", 7)
+        monkeypatch.setattr(K, "ITEM_BLOCK", 9)
+        assert rows(K.recommend_all(factors, titles, 4, seen), *columns) == whole
+        listed = K.top_bottom(factors, [3, 9, 777], titles, 4, seen)
+        assert rows(listed, *columns) == [r for r in whole if r[0] in (3, 9)]
+        monkeypatch.undo()
+
+
+def test_a_pick_without_title_keeps_its_rank(spark, planted):
+    train, _ = planted
+    factors = A.fit(train, rank=2)
+    bare = factors.items.df.select("movieId", "n", *[F.lit(None).cast(t).alias(c) for c, t in (("title", "string"), ("genres", "string"), ("year", "int"))])
+    got = K.top_bottom(factors, [3], KeyedTable.build(bare, "movieId"), 4)
+    assert got.count() == 8 and got.where("title is null").count() == 8
 
 
 def test_effect_picks(planted, titles):
