@@ -17,6 +17,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -217,7 +218,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, *, block_words: int = BLOCK
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect() if words_in_all else []
         index = Index(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         if index.classes:
-            docs = _searched(docs, docs.sparkSession.sparkContext.broadcast(index))
+            docs = _searched(docs, docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index)))
     return docs
 
 
@@ -225,7 +226,7 @@ def _searched(docs: DataFrame, shared) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = shared.value
+        index: Index = cloudpickle.loads(shared.value)
         for batch in batches:
             hits, held, size = [], [], 0
             for text in batch.column(names.index("text")).to_pylist():

@@ -35,7 +35,7 @@ from halfstar.session import materialise
 SEED = 42
 BLOCK_BITS = 2
 #: Rows of one bucket that one task compares; a larger bucket is cut into pairs of parts.
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 20_000
 #: Shingles hashed at once; bounds the memory of a very long text.
 SHINGLES = 1 << 16
 
@@ -53,34 +53,46 @@ def _lanes(h: np.ndarray, lanes: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: bytes, shingle: int, lanes: int) -> bytes:
-    """Big-endian fingerprint of ``64 * lanes`` bits; no word gives zeros."""
+def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of the word shingles of a text, repeats included, part by part."""
     words = text.lower().split()  # ASCII only, as bytes
     if not words:
-        return bytes(8 * lanes)
-    n = max(1, len(words) - shingle + 1)
-    counts = np.zeros(64 * lanes, np.int64)
-    for start in range(0, n, SHINGLES):
+        return
+    if len(words) < shingle:
+        yield np.array([_hash(b" ".join(words))], np.uint64)
+        return
+    for start in range(0, len(words) - shingle + 1, SHINGLES):
         part = words[start : start + SHINGLES + shingle - 1]
-        if len(words) < shingle:
-            grams = [b" ".join(part)]
-        else:
-            grams = map(b" ".join, zip(*(part[i:] for i in range(shingle))))
-        h = np.fromiter(map(_hash, grams), np.uint64)
+        yield np.fromiter(map(_hash, map(b" ".join, zip(*(part[i:] for i in range(shingle))))), np.uint64)
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The distinct hashes, sorted."""
+    parts = list(shingle_hashes(text, shingle))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int, lanes: int, distinct: bool = False) -> bytes:
+    """Big-endian fingerprint of ``64 * lanes`` bits; no word gives zeros."""
+    counts, n = np.zeros(64 * lanes, np.int64), 0
+    for h in [shingle_set(text, shingle)] if distinct else shingle_hashes(text, shingle):
+        n += len(h)
         for i in range(0, len(h), 4096):
             block = _lanes(h[i : i + 4096], lanes).astype(">u8").view(np.uint8).reshape(-1, 8 * lanes)
             counts += np.unpackbits(block, axis=1).sum(0, dtype=np.int64)
     return np.packbits(2 * counts > n).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int, lanes: int = 1, *, key: Column | None = None) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, shingle: int, lanes: int = 1, *, key: Column | None = None, distinct: bool = False
+) -> DataFrame:
     """``(key, fp)`` per row of ``docs``, fp binary."""
     key = F.col("doc_id") if key is None else key
     source = docs.select(key.alias("key"), "text")
     kind = source.schema["key"].dataType.simpleString()
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = [fingerprint(t, shingle, lanes) for t in utf8(batch.column("text"))]
+        fps = [fingerprint(t, shingle, lanes, distinct) for t in utf8(batch.column("text"))]
         return pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fps, pa.binary())], ["key", "fp"])
 
     return map_batches(source, make, f"key {kind}, fp binary")
@@ -189,48 +201,56 @@ def _parts(rows: DataFrame, most: int) -> DataFrame:
 class _Bucket:
     """Compares the rows of one partition, bucket by bucket."""
 
-    def __init__(self, words: np.ndarray, radius: int, block_bits: int):
-        self.words, self.radius, self.block = words, radius, block_bits
-        self.table = pivot_table(words, block_bits)
-        self.wide = words.shape[1] > 1
-        if self.wide:
-            self.coords = coordinates(self.table, block_bits).astype(np.int8)
+    def __init__(self, words: np.ndarray, radius: int):
+        self.words, self.radius = words, radius
+        self.table = None if words.shape[1] > 1 else pivot_table(words)
+
+    def distances(self, left, right) -> np.ndarray:
+        """Differing bits of the pairs, or more than the radius; ``left`` may be one row.
 
-    def near(self, left, right) -> np.ndarray:
-        """Mask of the pairs within the radius; ``left`` may be one row."""
+        A pair is discarded once the distances to one reference differ by more
+        than the radius. A wide fingerprint is compared at once: its radius is
+        too large a part of its bits for a reference to tell rows apart.
+        """
+        if self.table is None:
+            return np.bitwise_count(self.words[left] ^ self.words[right]).sum(-1, dtype=np.int32)
         t, r = self.table, self.radius
         keep = np.flatnonzero(np.abs(t[left, 0] - t[right, 0]) <= r)
-        l, h = (left if np.isscalar(left) else left[keep]), right[keep]
-        if self.wide:  # coordinates of disjoint blocks add up
-            ok = np.abs(self.coords[l] - self.coords[h]).sum(-1, dtype=np.int32) <= r
-        else:
-            ok = np.abs(t[l] - t[h]).max(-1, initial=0) <= r
-        keep = keep[ok]
-        l, h = (left if np.isscalar(left) else left[keep]), right[keep]
-        ok = np.bitwise_count(self.words[l] ^ self.words[h]).sum(-1, dtype=np.int32) <= r
-        mask = np.zeros(len(right), bool)
-        mask[keep[ok]] = True
-        return mask
-
-    def spanning(self, lo: int, hi: int) -> list[tuple[int, int]]:
-        """Links that connect what the bucket's links connect: a row leaves once it is reached."""
-        todo, found = np.arange(lo, hi), []
-        while len(todo) > 1:
-            queue, todo = [int(todo[0])], todo[1:]
-            while queue and len(todo):
-                x = queue.pop()
-                near = np.zeros(len(todo), bool)
-                for i in range(0, len(todo), 1 << 16):
-                    near[i : i + (1 << 16)] = self.near(x, todo[i : i + (1 << 16)])
-                reached = todo[near]
-                found += [(x, int(y)) for y in reached]
-                queue += reached.tolist()
-                todo = todo[~near]
+        first = left if np.isscalar(left) else left[keep]
+        keep = keep[np.abs(t[first] - t[right[keep]]).max(-1, initial=0) <= r]
+        first = left if np.isscalar(left) else left[keep]
+        out = np.full(len(right), r + 1, np.int32)
+        out[keep] = np.bitwise_count(self.words[first] ^ self.words[right[keep]]).sum(-1, dtype=np.int32)
+        return out
+
+    def _from(self, row: int, others: np.ndarray) -> np.ndarray:
+        parts = [self.distances(row, others[i : i + (1 << 16)]) for i in range(0, len(others), 1 << 16)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+    def spanning(self, lo: int, hi: int) -> list[tuple[int, int, int]]:
+        """(row, row, distance): a spanning forest of the bucket's links that prefers short ones.
+
+        At any distance up to the radius it connects what the links up to that
+        distance connect (Prim's algorithm), with fewer links than rows.
+        """
+        todo = np.arange(lo + 1, hi)
+        near, parent = self._from(lo, todo), np.full(len(todo), lo)
+        found = []
+        while len(todo):
+            at = int(near.argmin())
+            row, d = int(todo[at]), int(near[at])
+            if d <= self.radius:
+                found.append((int(parent[at]), row, d))
+            rest = np.arange(len(todo)) != at
+            todo, near, parent = todo[rest], near[rest], parent[rest]
+            closer = self._from(row, todo)
+            better = closer < near
+            near[better], parent[better] = closer[better], row
         return found
 
-    def links(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Small buckets together, offset by offset; larger ones one by one."""
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def links(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Links as columns (row, row, distance): of small buckets all, of larger ones a forest."""
+        out = [np.zeros((3, 0), np.int64)]
         size = ends - starts
         small = size <= 8
         for offset in range(1, 8):
@@ -240,20 +260,18 @@ class _Bucket:
             s, n = starts[runs], size[runs] - offset
             at = np.repeat(s - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
             for i in range(0, len(at), 1 << 16):
-                l = at[i : i + (1 << 16)]
-                m = self.near(l, l + offset)
-                a.append(l[m])
-                b.append(l[m] + offset)
+                row = at[i : i + (1 << 16)]
+                d = self.distances(row, row + offset)
+                ok = d <= self.radius
+                out.append(np.stack([row[ok], row[ok] + offset, d[ok]]))
         for s, e in zip(starts[~small].tolist(), ends[~small].tolist()):
             if found := self.spanning(s, e):
-                x, y = zip(*found)
-                a.append(np.array(x))
-                b.append(np.array(y))
-        return np.concatenate(a), np.concatenate(b)
+                out.append(np.array(found).T)
+        return np.concatenate(out, axis=1)
 
 
-def _bucket_links(rows: DataFrame, radius: int, block_bits: int) -> DataFrame:
-    """``(a, b)`` node pairs that span the links of every bucket."""
+def _bucket_links(rows: DataFrame, radius: int) -> DataFrame:
+    """``(a, b, d)``: node pairs with their distance that span the links of every bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -273,13 +291,17 @@ def _bucket_links(rows: DataFrame, radius: int, block_bits: int) -> DataFrame:
             several = (ends - starts > 1) & (ends <= done)
             if several.any():
                 words = _words(rest.column("fp").to_pylist())
-                a, b = _Bucket(words, radius, block_bits).links(starts[several], ends[several])
+                a, b, d = _Bucket(words, radius).links(starts[several], ends[several])
                 node = rest.column("node").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[a]), pa.array(node[b]), pa.array(d.astype(np.int32))], ["a", "b", "d"]
+                )
             rest = rest.slice(done)
 
     dealt = rows.repartition("band", "bucket", "part").sortWithinPartitions("band", "bucket", "part")
-    return dealt.mapInArrow(run, "a long, b long")
+    found = dealt.mapInArrow(run, "a long, b long, d int")
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    return found.select(*ends, "d").groupBy("a", "b").agg(F.min("d").alias("d"))
 
 
 def _with_end(batches: Iterator) -> Iterator:
@@ -287,6 +309,50 @@ def _with_end(batches: Iterator) -> Iterator:
     yield None
 
 
+# --- exact similarity -----------------------------------------------------------------
+
+
+def _verified(links: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The ``links(a, b)`` whose ``texts(node, text)`` share ``similarity`` of their distinct shingles."""
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [(shingle_set(t, shingle) >> np.uint64(32)).astype(np.uint32).tobytes() for t in utf8(batch.column("text"))]
+        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "s"])
+
+    known = materialise(map_batches(texts, sets, "node long, s binary"), "simhash-sets")
+
+    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
+            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+            both = len(np.intersect1d(x, y))
+            keep.append(both >= similarity * (len(x) + len(y) - both))
+        chosen = pa.array(keep, pa.bool_())
+        return pa.RecordBatch.from_arrays([batch.column(c).filter(chosen) for c in ("a", "b")], ["a", "b"])
+
+    sides = [known.select(F.col("node").alias(c), F.col("s").alias(f"s{c}")) for c in ("a", "b")]
+    return map_batches(links.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sa", "sb"), compare, "a long, b long")
+
+
+def _checked(docs: DataFrame, fps: DataFrame, key: Column, links: DataFrame, shingle: int, similarity: float, sure: int) -> DataFrame:
+    """Links by exact similarity; those up to ``sure`` bits are beyond doubt."""
+    links = materialise(links, "simhash-links")
+    certain = links.filter(F.col("d") <= sure).select("a", "b")
+    joined = components(certain)
+    ends = [joined.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+    doubt = links.filter(F.col("d") > sure).join(ends[0], "a", "left").join(ends[1], "b", "left")
+    doubt = materialise(
+        doubt.filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b"), "simhash-doubt"
+    )
+    if doubt.isEmpty():
+        return certain
+    nodes = doubt.select(F.col("a").alias("node")).unionByName(doubt.select(F.col("b").alias("node"))).distinct()
+    shown = fps.join(nodes, "node").groupBy("node").agg(F.min("key").alias("key"))
+    asked = shown.select(key_text(F.col("key")).alias("__k"), "node")
+    texts = docs.select(key_text(key).alias("__k"), "text").join(asked, "__k").dropDuplicates(["node"]).select("node", "text")
+    return certain.unionByName(_verified(doubt, texts, shingle, similarity))
+
+
 # --- the operator ---------------------------------------------------------------------
 
 
@@ -298,6 +364,8 @@ def near_groups(
     radius: int = 2,
     band_bits: int | None = None,
     carried: int = 1,
+    similarity: float | None = None,
+    sure: int = 0,
     bucket_rows: int = BUCKET_ROWS,
     key: Column | None = None,
 ) -> DataFrame:
@@ -307,17 +375,23 @@ def near_groups(
     ``radius`` or fewer differing bits; the buckets find every such link. With
     more lanes and ``band_bits`` set, the fingerprint is wide, a link needs one
     band in which both agree, and ``radius`` counts bits of the first
-    ``carried`` words. ``component`` is shared by all rows that links connect.
+    ``carried`` words. With ``similarity`` the shingles are taken as a set, and
+    a link of more than ``sure`` bits holds only if the texts share that part
+    of their shingles; ``key`` must then be ``row_key``. ``component`` is
+    shared by all rows that links connect.
 
     Equal fingerprints are one node, so copies cost one row however many there
     are. Null and empty texts have the zero fingerprint and link like any other.
     Null, repeated or tied keys are kept as they are. An empty table gives none.
     """
-    fps = materialise(fingerprints(docs, shingle, lanes, key=key).withColumn("node", F.xxhash64("fp")), "simhash-fp")
-    distinct = fps.groupBy("node").agg(F.first("fp").alias("fp"))
-    rows = materialise(_bucket_rows(distinct, radius, band_bits, carried), "simhash-rows")
-    block_bits = 4 if band_bits else BLOCK_BITS
-    found = components(_bucket_links(_parts(rows, bucket_rows), radius, block_bits))
+    made = fingerprints(docs, shingle, lanes, key=key, distinct=similarity is not None)
+    fps = materialise(made.withColumn("node", F.xxhash64("fp")), "simhash-fp")
+    distinct = materialise(fps.groupBy("node").agg(F.first("fp").alias("fp")), "simhash-nodes")
+    rows = _bucket_rows(distinct, radius, band_bits, carried)
+    links = _bucket_links(_parts(rows, bucket_rows), radius)
+    if similarity is not None:
+        links = _checked(docs, fps, key, links, shingle, similarity, sure)
+    found = components(links.select("a", "b"))
     return fps.join(found, "node", "left").select(
         "key", "fp", "node", F.coalesce("component", "node").alias("component")
     )
@@ -336,9 +410,10 @@ def simhash_components(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-#: Stage values: 512 compared bits; texts with a shingle similarity of 0.8 differ in 78 of
-#: them on average (standard deviation 8), unrelated texts in 256.
-STAGE = {"shingle": 5, "lanes": 16, "radius": 86, "band_bits": 16, "carried": 8}
+#: Stage values: 48 bands of 16 bits, 512 bits compared. Texts with a shingle similarity of 0.8
+#: differ in 78 of them on average (standard deviation 8), unrelated texts in 256. A pair at 0.8
+#: shares a band with a probability of 0.97; up to 44 bits (four deviations) its similarity is beyond doubt.
+STAGE = {"shingle": 5, "lanes": 12, "radius": 96, "band_bits": 16, "carried": 8, "similarity": 0.8, "sure": 44}
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -83,10 +83,10 @@ def test_spanning_reaches_what_links_reach():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 6).astype(np.uint64)
     words = np.array([[b ^ np.uint64(1 << int(rng.integers(64))) ^ np.uint64(1 << int(rng.integers(64)))] for b in base for _ in range(30)])
-    bucket = S._Bucket(words, 2, 2)
+    bucket = S._Bucket(words, 2)
     groups = slow_components([int(w) for w in words[:, 0]], 2)
     found = slow_components(list(range(len(words))), -1)
-    for a, b in bucket.spanning(0, len(words)):
+    for a, b, _ in bucket.spanning(0, len(words)):
         keep, drop = sorted((found[a], found[b]))
         found = [keep if f == drop else f for f in found]
     assert len(set(found)) == len(set(groups))
@@ -116,3 +116,36 @@ def test_empty_table(spark):
     empty = docs_of(spark, [])
     assert S.simhash_components(empty).count() == 0
     assert S.drop_near_duplicates(empty).count() == 0
+
+
+def slow_near(rows, similarity=0.8):
+    sets = []
+    for _, t, _ in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or len(a & sets[j]) >= similarity * len(a | sets[j]) > 0:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(rows))]
+
+
+def test_stage_groups_by_exact_similarity(spark):
+    """Copies from sure ones down to ones well below the threshold."""
+    rows = [r for r in near_texts(seed=11, base=15, copies=14)]
+    got = {r.key.id: r.component for r in S.near_groups(docs_of(spark, rows), **S.STAGE, key=S.row_key(docs_of(spark, rows))).collect()}
+    expected = slow_near(rows)
+    ours, theirs = {}, {}
+    for (i, _, _), g in zip(rows, expected):
+        ours.setdefault(got[i], set()).add(i)
+        theirs.setdefault(g, set()).add(i)
+    wrong = [g for g in ours.values() if not any(g <= t for t in theirs.values())]
+    assert not wrong
+    assert len(ours) <= len(theirs) + 2
