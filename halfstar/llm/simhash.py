@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from halfstar.llm.common import key_text, map_batches, row_key, utf8
 from halfstar.llm.components import components
@@ -334,7 +335,7 @@ def _verified(links: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return map_batches(links.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sa", "sb"), compare, "a long, b long")
 
 
-def _checked(docs: DataFrame, fps: DataFrame, key: Column, links: DataFrame, shingle: int, similarity: float, sure: int) -> DataFrame:
+def _checked(docs: DataFrame, distinct: DataFrame, key: Column, links: DataFrame, shingle: int, similarity: float, sure: int) -> DataFrame:
     """Links by exact similarity; those up to ``sure`` bits are beyond doubt."""
     links = materialise(links, "simhash-links")
     certain = links.filter(F.col("d") <= sure).select("a", "b")
@@ -347,8 +348,7 @@ def _checked(docs: DataFrame, fps: DataFrame, key: Column, links: DataFrame, shi
     if doubt.isEmpty():
         return certain
     nodes = doubt.select(F.col("a").alias("node")).unionByName(doubt.select(F.col("b").alias("node"))).distinct()
-    shown = fps.join(nodes, "node").groupBy("node").agg(F.min("key").alias("key"))
-    asked = shown.select(key_text(F.col("key")).alias("__k"), "node")
+    asked = distinct.join(nodes, "node").select(key_text(F.col("least")).alias("__k"), "node")
     texts = docs.select(key_text(key).alias("__k"), "text").join(asked, "__k").dropDuplicates(["node"]).select("node", "text")
     return certain.unionByName(_verified(doubt, texts, shingle, similarity))
 
@@ -356,7 +356,7 @@ def _checked(docs: DataFrame, fps: DataFrame, key: Column, links: DataFrame, shi
 # --- the operator ---------------------------------------------------------------------
 
 
-def near_groups(
+def grouped(
     docs: DataFrame,
     *,
     shingle: int = 3,
@@ -368,8 +368,8 @@ def near_groups(
     sure: int = 0,
     bucket_rows: int = BUCKET_ROWS,
     key: Column | None = None,
-) -> DataFrame:
-    """``(key, fp, node, component)`` per row of ``docs(doc_id, text)``.
+) -> tuple[DataFrame, DataFrame]:
+    """``(key, fp, node)`` per row of ``docs(doc_id, text)``, and ``(node, component, least)`` per node.
 
     With ``lanes=1`` and no bands, fingerprints have 64 bits and link at
     ``radius`` or fewer differing bits; the buckets find every such link. With
@@ -378,7 +378,7 @@ def near_groups(
     ``carried`` words. With ``similarity`` the shingles are taken as a set, and
     a link of more than ``sure`` bits holds only if the texts share that part
     of their shingles; ``key`` must then be ``row_key``. ``component`` is
-    shared by all rows that links connect.
+    shared by all nodes that links connect, ``least`` is the smallest key of a node.
 
     Equal fingerprints are one node, so copies cost one row however many there
     are. Null and empty texts have the zero fingerprint and link like any other.
@@ -386,15 +386,24 @@ def near_groups(
     """
     made = fingerprints(docs, shingle, lanes, key=key, distinct=similarity is not None)
     fps = materialise(made.withColumn("node", F.xxhash64("fp")), "simhash-fp")
-    distinct = materialise(fps.groupBy("node").agg(F.first("fp").alias("fp")), "simhash-nodes")
+    least = F.col("key")
+    if isinstance(fps.schema["key"].dataType, StructType):  # null ids last
+        least = F.struct(F.col("key.id").isNull().alias("none"), F.col("key.id").alias("id"), F.col("key.h").alias("h"))
+    distinct = fps.groupBy("node").agg(F.first("fp").alias("fp"), F.min(least).alias("least"))
+    distinct = materialise(distinct, "simhash-nodes")
     rows = _bucket_rows(distinct, radius, band_bits, carried)
     links = _bucket_links(_parts(rows, bucket_rows), radius)
     if similarity is not None:
-        links = _checked(docs, fps, key, links, shingle, similarity, sure)
+        links = _checked(docs, distinct, key, links, shingle, similarity, sure)
     found = components(links.select("a", "b"))
-    return fps.join(found, "node", "left").select(
-        "key", "fp", "node", F.coalesce("component", "node").alias("component")
-    )
+    members = distinct.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least")
+    return fps, materialise(members, "simhash-members")
+
+
+def near_groups(docs: DataFrame, **options) -> DataFrame:
+    """``(key, fp, node, component)`` per row of ``docs``; see ``grouped``."""
+    fps, members = grouped(docs, **options)
+    return fps.join(members.drop("least"), "node")
 
 
 def simhash_components(docs: DataFrame, **options) -> DataFrame:
@@ -403,9 +412,10 @@ def simhash_components(docs: DataFrame, **options) -> DataFrame:
     Ids that are null take no part in that minimum; where a whole component has
     none, component_id is null. Other columns of ``docs`` are not read.
     """
-    rows = near_groups(docs, **options)
-    smallest = rows.groupBy("component").agg(F.min("key").alias("component_id"))
-    return rows.join(smallest, "component").select(
+    fps, members = grouped(docs, **options)
+    smallest = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    told = members.join(smallest, "component").select("node", "component_id")
+    return fps.join(told, "node").select(
         F.col("key").alias("doc_id"), F.lower(F.hex("fp")).alias("fingerprint"), "component_id"
     )
 
@@ -422,8 +432,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     Empty texts are one group. Rows equal in id, source and text count as one
     document and one of them stays. All columns of ``docs`` are returned.
     """
-    rows = near_groups(docs, **{**STAGE, **options}, key=row_key(docs))
-    order = F.struct(F.col("key.id").isNull().alias("none"), F.col("key.id").alias("id"), F.col("key.h").alias("h"))
-    kept = rows.groupBy("component").agg(F.min(order).alias("k")).select(key_text(F.col("k")).alias("__key"))
+    _, members = grouped(docs, **{**STAGE, **options}, key=row_key(docs))
+    kept = members.groupBy("component").agg(F.min("least").alias("k")).select(key_text(F.col("k")).alias("__key"))
     marked = docs.withColumn("__key", key_text(row_key(docs)))
     return marked.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
