@@ -19,7 +19,7 @@ from halfstar.session import materialise
 WEIGHTS = (1, 2, 3)
 MOST = 3.0
 #: Documents one task rounds; more documents of a source are dealt to several tasks.
-LEAF = 20_000
+LEAF = 2_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
