@@ -121,11 +121,10 @@ def lookup(
     hot = heavy.join(held, F.col("__hk").eqNullSafe(F.col("__k")), "left").select(
         "__hk", F.lit(True).alias("__hot"), *[F.col(n).alias(f"__hot_{n}") for n in names]
     )
-    # coalesce keeps the constant out of the optimiser's reach: the salt must
-    # stay one of the shuffle keys.
-    cold = keyed.select(
-        F.col("__k").alias("__ck"), (F.coalesce("__w", F.lit(0)) * 0).cast("int").alias("__zero"), *names
-    )
+    # A remainder by one keeps the constant out of the optimiser's reach: the salt
+    # must stay one of the shuffle keys.
+    zero = F.pmod(F.xxhash64("__k"), F.lit(1)).cast("int")
+    cold = keyed.select(F.col("__k").alias("__ck"), zero.alias("__zero"), *names)
     marked = fact.join(F.broadcast(hot), F.col(on).eqNullSafe(F.col("__hk")), "left").withColumn(
         "__salt",
         F.when(F.col("__hot"), 1 + F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)))
