@@ -614,14 +614,14 @@ def tree_fit(p: Prepared, name: str) -> T.TreeFit:
     return p.fitted(name, lambda: T.fit_trees(tree_split(p)[0], make, features, tree_encoder(p)))
 
 
-def tree_oof(p: Prepared, name: str) -> DataFrame:
-    make, features = TREE_MODELS[name]
+def fold_inputs(p: Prepared) -> T.FoldInputs:
+    return p.fitted("fold inputs", lambda: T.FoldInputs.of(tree_split(p)[0], tree_encoder(p)))
 
-    def build():
-        scored = T.out_of_fold(tree_split(p)[0], make, features, encoder=tree_encoder(p))
-        return materialise(scored, "oof")
 
-    return p.fitted(f"{name} oof", build)
+def tree_folds(p: Prepared, name: str) -> tuple[list, list[str]]:
+    """Models per fold and their features."""
+    make, features = TREE_MODELS[name]
+    return p.fitted(f"{name} folds", lambda: (T.fold_models(fold_inputs(p), make, features), features))
 
 
 def _tree(name: str, cross_validated: bool) -> Query:
@@ -630,12 +630,13 @@ def _tree(name: str, cross_validated: bool) -> Query:
         train, test, holdout = tree_split(p)
         tree_encoder(p)
         if cross_validated:
-            T.together(spark, [lambda: tree_fit(p, name), lambda: tree_oof(p, name)])
+            fold_inputs(p)
+            T.together(spark, [lambda: tree_fit(p, name), lambda: tree_folds(p, name)])
         out = T.performance(
             tree_fit(p, name), {"train": train, "test": test, "holdout": holdout}, name
         )
         if cross_validated:
-            oof = result_record(tree_oof(p, name), name)
+            oof = result_record(T.score_folds(fold_inputs(p), {"pred": tree_folds(p, name)}), name)
             out = out.unionByName(oof.withColumn("part", F.lit("out of fold")))
         return out
 
@@ -643,10 +644,9 @@ def _tree(name: str, cross_validated: bool) -> Query:
 
 
 def _both_oof(p: Prepared) -> DataFrame:
-    gbt, rf = (
-        tree_oof(p, STACKED[k]).withColumnRenamed("pred", k) for k in ("gbt", "rf")
-    )
-    return gbt.join(rf.select("userId", "movieId", "rf"), ["userId", "movieId"])
+    for name in STACKED.values():
+        tree_folds(p, name)
+    return T.score_folds(fold_inputs(p), {k: tree_folds(p, name) for k, name in STACKED.items()})
 
 
 def tree_importances(spark, sf_dir):
