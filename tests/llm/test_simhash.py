@@ -85,11 +85,17 @@ def test_spanning_reaches_what_links_reach():
     words = np.array([[b ^ np.uint64(1 << int(rng.integers(64))) ^ np.uint64(1 << int(rng.integers(64)))] for b in base for _ in range(30)])
     bucket = S._Bucket(words, 2)
     groups = slow_components([int(w) for w in words[:, 0]], 2)
-    found = slow_components(list(range(len(words))), -1)
-    for a, b, _ in bucket.spanning(0, len(words)):
-        keep, drop = sorted((found[a], found[b]))
-        found = [keep if f == drop else f for f in found]
-    assert len(set(found)) == len(set(groups))
+    total = []
+    for links in (bucket.spanning(0, len(words)), bucket._grown(0, len(words))):
+        found = list(range(len(words)))
+        for a, b, d in links:
+            assert d == int(words[a, 0] ^ words[b, 0]).bit_count() <= 2
+            keep, drop = sorted((found[a], found[b]))
+            assert keep != drop
+            found = [keep if f == drop else f for f in found]
+        assert len(set(found)) == len(set(groups))
+        total.append(sum(d for _, _, d in links))
+    assert total[0] == total[1]
 
 
 def test_one_document_of_each_group_stays(spark):
