@@ -136,12 +136,12 @@ def indexed_rows(matrix: DataFrame, columns: int) -> DataFrame:
 
 
 def svd(
-    matrix: DataFrame, values: int, left: bool = False
+    matrix: DataFrame, values: int, left: bool = True
 ) -> SingularValueDecomposition:
     """Truncated SVD of the matrix on the cluster; users are the rows.
 
-    At most as many ``values`` as there are columns. ``left`` asks for the user
-    vectors as well, which costs one more pass.
+    At most as many ``values`` as there are columns. Without ``left`` the user
+    vectors are not computed, which saves a pass.
     """
     columns = matrix.agg(F.max("i")).first()[0]
     rows = packed(indexed_rows(matrix, columns)).persist(StorageLevel.MEMORY_AND_DISK)

@@ -408,7 +408,7 @@ def matrix_block(spark, sf_dir):
 def svd_energy(spark, sf_dir):
     """Energy of the leading singular values, within themselves and of the whole matrix."""
     matrix = train_matrix(prepare(spark, sf_dir))
-    sigma = M.svd(matrix, SVD_VALUES).s.toArray().tolist()
+    sigma = M.svd(matrix, SVD_VALUES, left=False).s.toArray().tolist()
     norm = matrix.agg(F.sum(F.pow("x", 2))).first()[0]
     whole = M.energy_table(spark, sigma, norm).select("k", F.col("share").alias("share_of_matrix"))
     return M.energy_table(spark, sigma).join(whole, "k")
@@ -416,7 +416,7 @@ def svd_energy(spark, sf_dir):
 
 def svd_factors(spark, sf_dir):
     """Rows and length of the left vectors, values and right vectors that hold 90 % of the energy."""
-    found = M.svd(train_matrix(prepare(spark, sf_dir)), SVD_VALUES, left=True)
+    found = M.svd(train_matrix(prepare(spark, sf_dir)), SVD_VALUES)
     k = max(1, M.choose_k(M.energy_table(spark, found.s.toArray().tolist())))
     return union(
         *[

@@ -157,3 +157,17 @@ def test_matrix_sums_repeated_cells(spark):
     matrix = M.rating_matrix(df)
     assert rows(matrix) == [(1, 2, 3.0), (2, 1, 4.0)]
     assert rows(M.dense_corner(matrix, 2, 2).fillna(0)) == [(1, 0.0, 3.0), (2, 4.0, 0.0)]
+
+
+def test_top_pairs_survive_cutting_into_segments(spark, monkeypatch):
+    """Sums of segments are pruned only once they are whole."""
+    rng = np.random.default_rng(9)
+    data = [(r, c + 100, c + 1, float(rng.normal())) for r in range(60) for c in range(40) if rng.random() < 0.7]
+    entries = spark.createDataFrame(data, "row int, id int, idx int, x double")
+    best = {}
+    for limit in (B.SEGMENT_ENTRIES, 50):
+        monkeypatch.setattr(B, "SEGMENT_ENTRIES", limit)
+        pairs = [tuple(r) for r in B.pair_sums(entries, 40, ["xy"], block=16, keep=1).collect()]
+        both = [(i, j, s) for i, j, s in pairs] + [(j, i, s) for i, j, s in pairs]
+        best[limit] = {i: max((round(s, 6), -j) for k, j, s in both if k == i) for i in range(100, 140)}
+    assert best[50] == best[B.SEGMENT_ENTRIES] and len(set(map(str, best.values()))) == 1
