@@ -17,21 +17,22 @@ from halfstar.operators.split import fold_of
 from halfstar.session import checkpoint_dir, materialise
 
 SEED = 42
-# Ratings behind one user or item block of the solver.
-ROWS_PER_BLOCK = 200_000
+# Ratings behind one user or item block of the solver, where cores are not the limit.
+ROWS_PER_BLOCK = 50_000
 
 
 def estimator(
     df: DataFrame, rank: int = 10, reg: float = 0.1, iterations: int = 5,
     user: str = "userId", item: str = "movieId", rating: str = "rating",
 ) -> ALS:
-    """ALS whose block count follows the data and whose lineage is checkpointed.
+    """ALS whose block count follows the data and the cluster, with checkpointed lineage.
 
     A pair without a vector scores NaN, which ``scored`` turns into NULL, so
     it is counted and not dropped.
     """
     checkpoint_dir(df.sparkSession)
-    blocks = max(2, ceil(df.count() / ROWS_PER_BLOCK))
+    most = max(10, df.sparkSession.sparkContext.defaultParallelism)
+    blocks = max(2, min(most, ceil(df.count() / ROWS_PER_BLOCK)))
     return ALS(
         rank=rank, regParam=reg, maxIter=iterations, userCol=user, itemCol=item,
         ratingCol=rating, coldStartStrategy="nan", numUserBlocks=blocks, numItemBlocks=blocks,
