@@ -37,6 +37,8 @@ SEED = 42
 BLOCK_BITS = 2
 #: Rows of one bucket that one task compares; a larger bucket is cut into pairs of parts.
 BUCKET_ROWS = 20_000
+#: Rows of one group whose shingle sets one task compares, and the bytes up to which a set is one row.
+GROUP_ROWS, ROW_BYTES = 4_000, 8_192
 #: Shingles hashed at once; bounds the memory of a very long text.
 SHINGLES = 1 << 16
 
@@ -93,8 +95,9 @@ def fingerprints(
     kind = source.schema["key"].dataType.simpleString()
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = [fingerprint(t, shingle, lanes, distinct) for t in utf8(batch.column("text"))]
-        return pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fps, pa.binary())], ["key", "fp"])
+        texts = utf8(batch.column("text"))
+        fps = pa.array([fingerprint(t, shingle, lanes, distinct) for t in texts], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column("key"), fps], ["key", "fp"])
 
     return map_batches(source, make, f"key {kind}, fp binary")
 
@@ -183,10 +186,12 @@ def _parts(rows: DataFrame, most: int) -> DataFrame:
     """Add ``part``: 0, or for a bucket of more than ``most`` rows one of its pairs of parts.
 
     Every pair of rows of such a bucket meets in some pair of parts, so no task
-    holds more than about twice ``most`` rows of it and no link is lost.
+    holds more than about twice ``most`` rows of it and no link is lost. A row
+    of more than ``ROW_BYTES`` counts as several.
     """
+    weight = F.greatest(F.lit(1), F.ceil(F.length("fp") / ROW_BYTES))
     hot = materialise(
-        rows.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter(F.col("n") > most), "simhash-hot"
+        rows.groupBy("band", "bucket").agg(F.sum(weight).alias("n")).filter(F.col("n") > most), "simhash-hot"
     )
     if hot.isEmpty():
         return rows.withColumn("part", F.lit(0).cast("long"))
@@ -196,7 +201,7 @@ def _parts(rows: DataFrame, most: int) -> DataFrame:
         "other", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), parts - 1)))
     )
     pair = F.least(own, "other") * parts + F.greatest(own, "other")
-    return spread.select("band", "bucket", "node", "fp", F.coalesce(pair, F.lit(0).cast("long")).alias("part"))
+    return spread.select(*rows.columns, F.coalesce(pair, F.lit(0).cast("long")).alias("part"))
 
 
 class _Bucket:
@@ -287,25 +292,34 @@ class _Bucket:
         return np.concatenate(out, axis=1)
 
 
-def _forest(links: np.ndarray) -> list[tuple[int, int, int]]:
-    """Of the links (row, row, distance), shortest first, those that join two trees."""
-    root: dict[int, int] = {}
+class _Forest:
+    """Union-find."""
+
+    def __init__(self):
+        self.root: dict[int, int] = {}
 
-    def find(x: int) -> int:
+    def find(self, x: int) -> int:
+        root = self.root
         while (up := root.get(x, x)) != x:
             root[x] = x = root.get(up, up)
         return x
 
-    kept = []
-    for a, b, d in links[:, np.argsort(links[2], kind="stable")].T.tolist():
-        if (ra := find(a)) != (rb := find(b)):
-            root[max(ra, rb)] = min(ra, rb)
-            kept.append((a, b, d))
-    return kept
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        ra, rb = self.find(a), self.find(b)
+        self.root[max(ra, rb)] = min(ra, rb)
+        return ra != rb
 
 
-def _bucket_links(rows: DataFrame, radius: int) -> DataFrame:
-    """``(a, b, d)``: node pairs with their distance that span the links of every bucket."""
+def _forest(links: np.ndarray) -> list[tuple[int, int, int]]:
+    """Of the links (row, row, distance), shortest first, those that join two trees."""
+    forest = _Forest()
+    ordered = links[:, np.argsort(links[2], kind="stable")].T.tolist()
+    return [(a, b, d) for a, b, d in ordered if forest.join(a, b)]
+
+
+def _by_bucket(rows: DataFrame, others: tuple[str, ...], make, schema: str) -> DataFrame:
+    """``make(table, starts, ends)`` over the buckets of several rows, each whole in one call."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -324,18 +338,55 @@ def _bucket_links(rows: DataFrame, radius: int) -> DataFrame:
             starts, ends = bounds[:-1], bounds[1:]
             several = (ends - starts > 1) & (ends <= done)
             if several.any():
-                words = _words(rest.column("fp").to_pylist())
-                a, b, d = _Bucket(words, radius).links(starts[several], ends[several])
-                node = rest.column("node").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[a]), pa.array(node[b]), pa.array(d.astype(np.int32))], ["a", "b", "d"]
-                )
+                yield make(rest, starts[several], ends[several])
             rest = rest.slice(done)
 
-    dealt = rows.repartition("band", "bucket", "part").sortWithinPartitions("band", "bucket", "part")
-    found = dealt.mapInArrow(run, "a long, b long, d int")
+    dealt = rows.select("band", "bucket", "part", "node", "fp", *others)
+    dealt = dealt.repartition("band", "bucket", "part").sortWithinPartitions("band", "bucket", "part")
+    return dealt.mapInArrow(run, schema)
+
+
+def _bucket_links(rows: DataFrame, radius: int, sure: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """``(a, b, d)``: node pairs with their distance that span the links of every bucket.
+
+    With ``sure`` also ``(bucket, node)``: what a forest joins by an edge of more
+    bits, if these are more than two rows. Such an edge may fail the exact check,
+    so each pair of the group has to be looked at, not the edges alone.
+    """
+
+    def make(rest: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        a, b, d = _Bucket(_words(rest.column("fp").to_pylist()), radius).links(starts, ends)
+        node = rest.column("node").to_numpy()
+        columns = [[node[a]], [node[b]], [d]]
+        for own in _trees(a, b, d, sure) if sure is not None else ():
+            nodes = np.sort(node[own])
+            columns[0].append(np.full(len(own), np.uint64(_hash(nodes.tobytes())).astype(np.int64)))
+            columns[1].append(nodes)
+            columns[2].append(np.full(len(own), -1))
+        a, b, d = (np.concatenate(c) for c in columns)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d.astype(np.int32))], ["a", "b", "d"])
+
+    found = _by_bucket(rows, (), make, "a long, b long, d int")
+    groups = None
+    if sure is not None:
+        found = materialise(found, "simhash-found")
+        groups = found.filter("d < 0").select(F.col("a").alias("bucket"), F.col("b").alias("node")).distinct()
+        found = found.filter("d >= 0")
     ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    return found.select(*ends, "d").groupBy("a", "b").agg(F.min("d").alias("d"))
+    return found.select(*ends, "d").groupBy("a", "b").agg(F.min("d").alias("d")), groups
+
+
+def _trees(a: np.ndarray, b: np.ndarray, d: np.ndarray, sure: int) -> list[list[int]]:
+    """The rows of each tree of more than two rows that has an edge of more than ``sure`` bits."""
+    forest = _Forest()
+    for x, y in zip(a.tolist(), b.tolist()):
+        forest.join(x, y)
+    doubtful = {forest.find(x) for x in a[d > sure].tolist()}
+    trees: dict[int, list[int]] = {}
+    for x in np.unique(np.concatenate([a, b])).tolist():
+        if (r := forest.find(x)) in doubtful:
+            trees.setdefault(r, []).append(x)
+    return [t for t in trees.values() if len(t) > 2]
 
 
 def _with_end(batches: Iterator) -> Iterator:
@@ -346,14 +397,21 @@ def _with_end(batches: Iterator) -> Iterator:
 # --- exact similarity -----------------------------------------------------------------
 
 
-def _verified(links: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The ``links(a, b)`` whose ``texts(node, text)`` share ``similarity`` of their distinct shingles."""
+def _sets(docs: DataFrame, distinct: DataFrame, key: Column, nodes: DataFrame, shingle: int) -> DataFrame:
+    """``(node, s)``: the distinct shingles of ``nodes(node)``."""
+    asked = distinct.join(nodes, "node").select(key_text(F.col("least")).alias("__k"), "node")
+    texts = docs.select(key_text(key).alias("__k"), "text").join(asked, "__k").dropDuplicates(["node"]).select("node", "text")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [(shingle_set(t, shingle) >> np.uint64(32)).astype(np.uint32).tobytes() for t in utf8(batch.column("text"))]
         return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "s"])
 
-    known = materialise(map_batches(texts, sets, "node long, s binary"), "simhash-sets")
+    known = map_batches(texts, sets, "node long, s binary")
+    return materialise(known, "simhash-sets")
+
+
+def _verified(links: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """The ``links(a, b)`` whose sets ``known(node, s)`` have ``similarity`` of their shingles in common."""
 
     def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -368,22 +426,80 @@ def _verified(links: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return map_batches(links.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sa", "sb"), compare, "a long, b long")
 
 
-def _checked(docs: DataFrame, distinct: DataFrame, key: Column, links: DataFrame, shingle: int, similarity: float, sure: int) -> DataFrame:
-    """Links by exact similarity; those up to ``sure`` bits are beyond doubt."""
+def _checked(
+    docs: DataFrame, distinct: DataFrame, key: Column, links: DataFrame, groups: DataFrame, shingle: int, similarity: float, sure: int
+) -> DataFrame:
+    """Links by exact similarity; those up to ``sure`` bits are beyond doubt.
+
+    First the links themselves, then what they leave apart in a group: there
+    every pair of different components is compared, inside the task.
+    """
     links = materialise(links, "simhash-links")
     certain = links.filter(F.col("d") <= sure).select("a", "b")
+    doubt = links.filter(F.col("d") > sure).select("a", "b")
     joined = components(certain)
-    ends = [joined.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
-    doubt = links.filter(F.col("d") > sure).join(ends[0], "a", "left").join(ends[1], "b", "left")
-    doubt = materialise(
-        doubt.filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b"), "simhash-doubt"
-    )
-    if doubt.isEmpty():
+    doubt = materialise(_apart(doubt, joined), "simhash-doubt")
+    nodes = doubt.select(F.explode(F.array("a", "b")).alias("node"))
+    groups = materialise(groups, "simhash-groups")
+    open_groups = _open(groups, joined)
+    nodes = materialise(nodes.unionByName(open_groups.select("node")).distinct(), "simhash-asked")
+    if nodes.isEmpty():
         return certain
-    nodes = doubt.select(F.col("a").alias("node")).unionByName(doubt.select(F.col("b").alias("node"))).distinct()
-    asked = distinct.join(nodes, "node").select(key_text(F.col("least")).alias("__k"), "node")
-    texts = docs.select(key_text(key).alias("__k"), "text").join(asked, "__k").dropDuplicates(["node"]).select("node", "text")
-    return certain.unionByName(_verified(doubt, texts, shingle, similarity))
+    known = _sets(docs, distinct, key, nodes, shingle)
+    held = materialise(certain.unionByName(_verified(doubt, known, similarity)), "simhash-held")
+    rows = _open(groups, components(held)).join(known.withColumnRenamed("s", "fp"), "node")
+    rows = materialise(rows.withColumn("band", F.lit(0)), "simhash-group-rows")
+    return held.unionByName(_group_links(_parts(rows, GROUP_ROWS), similarity))
+
+
+def _apart(links: DataFrame, joined: DataFrame) -> DataFrame:
+    ends = [joined.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b")]
+    both = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return both.filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b")
+
+
+def _open(groups: DataFrame, joined: DataFrame) -> DataFrame:
+    """``(bucket, node, component)`` of the groups that hold several components."""
+    told = groups.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
+    return told.join(several.select("bucket"), "bucket", "left_semi")
+
+
+def _group_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: links by exact similarity that join what is apart in a group, a forest of each."""
+
+    def make(table: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        found = []
+        for lo, hi in zip(starts.tolist(), ends.tolist()):
+            sets = [np.frombuffer(x, np.uint32) for x in table.column("fp").slice(lo, hi - lo).to_pylist()]
+            found += [(node[lo + i], node[lo + j]) for i, j in similar(sets, component[lo:hi], similarity)]
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return _by_bucket(rows, ("component",), make, "a long, b long").distinct()
+
+
+def similar(sets: list[np.ndarray], component: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs that share ``similarity`` of their union and join what ``component`` and earlier pairs leave apart."""
+    size = np.array([len(x) for x in sets])
+    stop = np.cumsum(size)
+    start = stop - size
+    distinct, code = np.unique(np.concatenate(sets), return_inverse=True)
+    label = np.unique(component, return_inverse=True)[1]
+    own, found = np.zeros(len(distinct), bool), []
+    for i in range(len(sets) - 1):
+        if (label[i + 1 :] == label[i]).all():
+            continue
+        own[code[start[i] : stop[i]]] = True
+        below = np.concatenate([[0], np.cumsum(own[code[stop[i] :]], dtype=np.int64)])
+        both = below[stop[i + 1 :] - stop[i]] - below[start[i + 1 :] - stop[i]]
+        own[code[start[i] : stop[i]]] = False
+        for j in (np.flatnonzero(both >= similarity * (size[i] + size[i + 1 :] - both)) + i + 1).tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                found.append((i, j))
+    return found
 
 
 # --- the operator ---------------------------------------------------------------------
@@ -410,7 +526,8 @@ def grouped(
     band in which both agree, and ``radius`` counts bits of the first
     ``carried`` words. With ``similarity`` the shingles are taken as a set, and
     a link of more than ``sure`` bits holds only if the texts share that part
-    of their shingles; ``key`` must then be ``row_key``. ``component`` is
+    of their shingles, which every pair of a bucket's group is asked until it is
+    joined. ``key`` must then be ``row_key``. ``component`` is
     shared by all nodes that links connect, ``least`` is the smallest key of a node.
 
     Equal fingerprints are one node, so copies cost one row however many there
@@ -425,9 +542,9 @@ def grouped(
     distinct = fps.groupBy("node").agg(F.first("fp").alias("fp"), F.min(least).alias("least"))
     distinct = materialise(distinct, "simhash-nodes")
     rows = _bucket_rows(distinct, radius, band_bits, carried)
-    links = _bucket_links(_parts(rows, bucket_rows), radius)
-    if similarity is not None:
-        links = _checked(docs, distinct, key, links, shingle, similarity, sure)
+    links, groups = _bucket_links(_parts(rows, bucket_rows), radius, None if similarity is None else sure)
+    if groups is not None:
+        links = _checked(docs, distinct, key, links, groups, shingle, similarity, sure)
     found = components(links.select("a", "b"))
     members = distinct.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least")
     return fps, materialise(members, "simhash-members")

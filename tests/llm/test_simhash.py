@@ -155,3 +155,25 @@ def test_stage_groups_by_exact_similarity(spark):
     wrong = [g for g in ours.values() if not any(g <= t for t in theirs.values())]
     assert not wrong
     assert len(ours) <= len(theirs) + 2
+
+
+def stage_groups(spark, rows):
+    docs = docs_of(spark, rows)
+    return {r.key.id: r.component for r in S.near_groups(docs, **S.STAGE, key=S.row_key(docs)).collect()}
+
+
+def test_true_links_of_a_template_family_are_not_dropped_for_short_ones(spark):
+    """Pairs at 0.82 whose cross pairs stand just below the threshold, all in the same buckets."""
+    rnd = random.Random(5)
+    common = [f"c{i}" for i in range(1200)]
+    rows = []
+    for p in range(100):
+        middle = [f"p{p}x{i}" for i in range(36)]
+        for c in range(2):
+            rows.append((2 * p + c, " ".join(common + middle + [f"o{p}y{c}z{i}" for i in range(134)]), "s"))
+    rnd.shuffle(rows)
+    got = stage_groups(spark, rows)
+    expected = slow_near(rows)
+    assert len(set(expected)) == 100
+    together = sum(got[2 * p] == got[2 * p + 1] for p in range(100))
+    assert len(set(got.values())) == 200 - together and together >= 97
