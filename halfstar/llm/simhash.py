@@ -39,6 +39,8 @@ BLOCK_BITS = 2
 BUCKET_ROWS = 20_000
 #: Rows of one group whose shingle sets one task compares, and the bytes up to which a set is one row.
 GROUP_ROWS, ROW_BYTES = 4_000, 8_192
+#: Texts of at most so many shingles are also compared by exact joins: few votes make fingerprints differ more.
+SHORT = 125
 #: Shingles hashed at once; bounds the memory of a very long text.
 SHINGLES = 1 << 16
 
@@ -89,7 +91,7 @@ def fingerprint(text: bytes, shingle: int, lanes: int, distinct: bool = False) -
 def fingerprints(
     docs: DataFrame, shingle: int, lanes: int = 1, *, key: Column | None = None, distinct: bool = False
 ) -> DataFrame:
-    """``(key, fp)`` per row of ``docs``, fp binary."""
+    """``(key, fp)`` per row of ``docs``, fp binary; if ``distinct`` also ``few``, the shingles of a text with few."""
     key = F.col("doc_id") if key is None else key
     source = docs.select(key.alias("key"), "text")
     kind = source.schema["key"].dataType.simpleString()
@@ -97,9 +99,19 @@ def fingerprints(
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = utf8(batch.column("text"))
         fps = pa.array([fingerprint(t, shingle, lanes, distinct) for t in texts], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column("key"), fps], ["key", "fp"])
+        if not distinct:
+            return pa.RecordBatch.from_arrays([batch.column("key"), fps], ["key", "fp"])
+        few = pa.array([_few(t, shingle) for t in texts], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([batch.column("key"), fps, few], ["key", "fp", "few"])
 
-    return map_batches(source, make, f"key {kind}, fp binary")
+    return map_batches(source, make, f"key {kind}, fp binary" + ", few array<long>" * distinct)
+
+
+def _few(text: bytes, shingle: int) -> list[int] | None:
+    """The shingles of a text with at most ``SHORT``, cut like those of the exact check."""
+    if not text or len(text.split(None, SHORT + shingle)) > SHORT + shingle - 1:
+        return None
+    return np.unique(shingle_set(text, shingle) >> np.uint64(32)).astype(np.int64).tolist() or None
 
 
 # --- buckets ------------------------------------------------------------------------
@@ -440,7 +452,7 @@ def _checked(
     joined = components(certain)
     doubt = materialise(_apart(doubt, joined), "simhash-doubt")
     nodes = doubt.select(F.explode(F.array("a", "b")).alias("node"))
-    groups = materialise(groups, "simhash-groups")
+    groups = materialise(groups.unionByName(_short_groups(distinct, similarity)), "simhash-groups")
     open_groups = _open(groups, joined)
     nodes = materialise(nodes.unionByName(open_groups.select("node")).distinct(), "simhash-asked")
     if nodes.isEmpty():
@@ -465,6 +477,24 @@ def _open(groups: DataFrame, joined: DataFrame) -> DataFrame:
     return told.join(several.select("bucket"), "bucket", "left_semi")
 
 
+def _short_groups(distinct: DataFrame, similarity: float) -> DataFrame:
+    """``(bucket, node)``: texts of few shingles by the rarest of these, a bucket per shingle.
+
+    Sets that share ``similarity`` of their union have a common element among
+    the first ``n - ceil(similarity * n) + 1`` of each in any one order, so no
+    pair is missed; rare shingles first keep the buckets small.
+    """
+    few = distinct.filter("few is not null").select("node", F.explode("few").alias("s"))
+    count = few.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1")
+    # a shingle of one text alone opens no bucket, but takes its place in the order
+    own = few.join(count, "s", "left").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "s"))).alias("own")
+    )
+    first = F.size("own") - F.ceil(F.size("own") * similarity - 1e-9).cast("int") + 1
+    rows = own.select("node", F.explode(F.slice("own", F.lit(1), first)).alias("e")).filter("e.n > 1")
+    return rows.select(F.col("e.s").cast("long").alias("bucket"), "node")
+
+
 def _group_links(rows: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: links by exact similarity that join what is apart in a group, a forest of each."""
 
@@ -527,7 +557,8 @@ def grouped(
     ``carried`` words. With ``similarity`` the shingles are taken as a set, and
     a link of more than ``sure`` bits holds only if the texts share that part
     of their shingles, which every pair of a bucket's group is asked until it is
-    joined. ``key`` must then be ``row_key``. ``component`` is
+    joined; texts of at most ``SHORT`` shingles are compared by exact joins
+    whatever their fingerprints. ``key`` must then be ``row_key``. ``component`` is
     shared by all nodes that links connect, ``least`` is the smallest key of a node.
 
     Equal fingerprints are one node, so copies cost one row however many there
@@ -539,7 +570,9 @@ def grouped(
     least = F.col("key")
     if isinstance(fps.schema["key"].dataType, StructType):  # null ids last
         least = F.struct(F.col("key.id").isNull().alias("none"), F.col("key.id").alias("id"), F.col("key.h").alias("h"))
-    distinct = fps.groupBy("node").agg(F.first("fp").alias("fp"), F.min(least).alias("least"))
+    few = [F.first("few").alias("few")] if similarity is not None else []
+    distinct = fps.groupBy("node").agg(F.first("fp").alias("fp"), F.min(least).alias("least"), *few)
+    fps = fps.select("key", "fp", "node")
     distinct = materialise(distinct, "simhash-nodes")
     rows = _bucket_rows(distinct, radius, band_bits, carried)
     links, groups = _bucket_links(_parts(rows, bucket_rows), radius, None if similarity is None else sure)
@@ -572,8 +605,8 @@ def simhash_components(docs: DataFrame, **options) -> DataFrame:
 
 #: Stage values: 64 bands of 16 bits, 512 bits compared. Texts with a shingle similarity of 0.8
 #: differ in 78 of them on average (standard deviation 8), unrelated texts in 256. A pair at 0.8
-#: shares a band with a probability of 0.99; up to 44 bits (four deviations) its similarity is beyond doubt.
-STAGE = {"shingle": 5, "lanes": 16, "radius": 96, "band_bits": 16, "carried": 8, "similarity": 0.8, "sure": 44}
+#: shares a band with a probability of 0.99, and the radius lies six deviations above its mean; up to 44 bits (four deviations) its similarity is beyond doubt.
+STAGE = {"shingle": 5, "lanes": 16, "radius": 128, "band_bits": 16, "carried": 8, "similarity": 0.8, "sure": 44}
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -177,3 +177,12 @@ def test_true_links_of_a_template_family_are_not_dropped_for_short_ones(spark):
     assert len(set(expected)) == 100
     together = sum(got[2 * p] == got[2 * p + 1] for p in range(100))
     assert len(set(got.values())) == 200 - together and together >= 97
+
+
+def test_short_texts_are_linked_by_exact_joins(spark):
+    rows = []
+    for p in range(100):
+        words = [f"w{p}x{i}" for i in range(8)]
+        rows += [(2 * p, " ".join(words), "s"), (2 * p + 1, " ".join(words + ["more"]), "s")]
+    got = stage_groups(spark, rows)
+    assert len(set(got.values())) == 100 and all(got[2 * p] == got[2 * p + 1] for p in range(100))
