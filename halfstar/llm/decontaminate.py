@@ -4,9 +4,10 @@ CGK embedding: a random walk reads a window of words. At step j it writes the
 word it stands on and moves on by a random bit that hangs on j and that word
 alone. Two windows at a small edit distance drift apart and meet again, so
 their walks agree in most steps: edit distance becomes Hamming distance.
-Samples of a few steps are hash keys; walks and samples are repeated until
-edited copies at the threshold are found with the target recall. What shares
-a key with an item is verified by its exact edit distance.
+Samples of a few steps are hash keys of a few walks. Walks drift apart with the
+number of edits, so long items with many edits need a second, complete way: of
+k + 1 disjoint pieces of an item k edits leave one untouched, which is looked up
+as it stands. What shares a key with an item is verified by its exact edit distance.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 
 #: Edits per word of an item that still count as a copy; shorter items take no part.
 EDITS, MIN_WORDS = 0.15, 8
-#: Steps per key, walks, and keys per walk. Chosen for a recall of 0.95 at the threshold and
-#: measured in the tests; copies with fewer edits are found more surely.
+#: Shorter items have no walks: their pieces alone find every copy.
+WALK_WORDS = 8
+#: Steps per key, walks, and keys per walk. Walks find about 0.95 of the copies at the threshold
+#: for items of some tens of words; pieces find the rest.
 SAMPLE, WALKS, KEYS = 3, 3, 16
 #: Words of benchmark broadcast at once, a few tens of MB; more items are searched block by block.
 BLOCK_WORDS = 500_000
@@ -108,13 +111,15 @@ class Index:
         size = len(self.vocabulary) + 1
         by: dict[int, list[tuple[int, np.ndarray]]] = {}
         for place, item in enumerate(coded):
-            if len(item) >= MIN_WORDS:
+            if len(item) >= WALK_WORDS:
                 by.setdefault(_grid(len(item)), []).append((place, item))
         self.classes = [_Class(n, rows, size) for n, rows in sorted(by.items())]
         longest = max((c.length for c in self.classes), default=0)
         rng = np.random.default_rng(7)
         self.coins = rng.integers(0, 1 << 63, (WALKS, size, 2 * longest // 64 + 1)).astype(np.uint64)
-        self.pad = max((len(i) for c in self.classes for _, i in c.items), default=0) + longest + 1
+        self.pad = max(map(len, coded), default=0) + longest + 1
+        self.coded = coded
+        self.pieces = _pieces(coded)
         self.tables = []
         for c in self.classes:
             cores = np.stack([i[: c.length] for _, i in c.items])
@@ -139,6 +144,8 @@ class Index:
             windows = np.flatnonzero(inside >= c.least)
             for i in range(0, len(windows), 1 << 15):
                 self._class(c, tables, stream, windows[i : i + (1 << 15)], starts, sizes, found)
+        for q, table in self.pieces.items():
+            self._piece(q, table, stream, np.flatnonzero(below[q:] - below[:-q] == q), starts, sizes, found)
         return [[(p, a, e) for p, (e, a) in sorted(f.items())] for f in found]
 
     def _class(self, c: _Class, tables, stream, at, starts, sizes, found) -> None:
@@ -178,6 +185,63 @@ class Index:
                 found[doc][place] = (edits, p - int(starts[doc]))
 
 
+    def _piece(self, q: int, table, stream, at, starts, sizes, found) -> None:
+        """The items of which a piece of ``q`` words stands in a text, wherever the item then begins."""
+        keys, owner, offset = table
+        key = _gram_keys(stream, at, q)
+        lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
+        n = hi - lo
+        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+        at = np.repeat(at, n)
+        place, doc = owner[entry], np.searchsorted(starts, at, "right") - 1
+        begin = at - offset[entry]
+        order = np.lexsort((begin, place, doc))
+        place, doc, begin = place[order], doc[order], begin[order]
+        most = (EDITS * np.array([len(i) for i in self.coded])).astype(np.int64)
+        # begins near each other are one region
+        new = np.ones(len(begin), bool)
+        new[1:] = (np.diff(doc) != 0) | (np.diff(place) != 0) | (np.diff(begin) > most[place[1:]])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(begin))[: len(first)] - 1
+        for d, p, b, e in zip(doc[first].tolist(), place[first].tolist(), begin[first].tolist(), begin[last].tolist()):
+            best = found[d].get(p)
+            if best and best[0] == 0:
+                continue
+            item, k, start, end = self.coded[p], int(most[p]), int(starts[d]), int(starts[d] + sizes[d])
+            region = stream[max(start, b - k) : min(end, e + len(item) + k)]
+            if np.isin(item, region).sum() < len(item) - k:
+                continue
+            edits = edit_distance(item, region)
+            if edits <= k and (best is None or edits < best[0]):
+                found[d][p] = (edits, max(b - start, 0))
+
+
+def _gram_keys(stream: np.ndarray, at: np.ndarray, q: int) -> np.ndarray:
+    """Hash keys of the ``q`` words from each place on."""
+    key = np.full(len(at), q, np.uint64)
+    for j in range(q):
+        key = (key ^ stream[at + j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def _pieces(coded: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By length (at most 6 words), the sorted keys of all pieces with the place of their item and their offset in it."""
+    by: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+    for place, item in enumerate(coded):
+        if len(item) >= MIN_WORDS:
+            n = int(EDITS * len(item)) + 1
+            q = len(item) // n
+            by.setdefault(q, []).extend((place, i * q, item[i * q : i * q + q]) for i in range(n))
+    out = {}
+    for q, rows in sorted(by.items()):
+        words_of = np.concatenate([w for _, _, w in rows])
+        keys = _gram_keys(words_of, np.arange(len(rows)) * q, q)
+        order = np.argsort(keys, kind="stable")
+        out[q] = keys[order], np.array([p for p, _, _ in rows])[order], np.array([o for _, o, _ in rows])[order]
+    return out
+
+
 def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     return keys[order], order
@@ -217,7 +281,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, *, block_words: int = BLOCK
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect() if words_in_all else []
         index = Index(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
-        if index.classes:
+        if index.pieces:
             docs = _searched(docs, docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index)))
     return docs
 

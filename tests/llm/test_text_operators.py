@@ -215,6 +215,29 @@ def test_decontamination_against_brute_force(spark):
         assert len(got) >= 0.95 * len(expected)
 
 
+def edited(rnd, w, edits):
+    """``w`` after exactly so many edits at different words."""
+    w = list(w)
+    for at in sorted(rnd.sample(range(len(w)), edits), reverse=True):
+        rnd.choice([lambda: w.pop(at), lambda: w.insert(at, "zzz"), lambda: w.__setitem__(at, "yyy")])()
+    return w
+
+
+@pytest.mark.parametrize("length", [12, 60, 120, 300, 400])
+def test_copies_at_the_threshold_are_found_whatever_the_length(length):
+    rnd = random.Random(length)
+    pool = [f"word{i}" for i in range(3000)]
+    items = [[rnd.choice(pool) for _ in range(length)] for _ in range(60)]
+    index = D.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+    texts = []
+    for w in items:
+        around = [rnd.choice(pool) for _ in range(80)]
+        texts.append([x.encode() for x in around[:40] + edited(rnd, w, int(D.EDITS * length)) + around[40:]])
+    hits = index.search(texts)
+    assert sum(i in {p for p, _, _ in h} for i, h in enumerate(hits)) == len(items)
+    assert all(e <= int(D.EDITS * length) for h in hits for _, _, e in h)
+
+
 def test_edit_distance_by_hand():
     a = np.array([1, 2, 3, 4])
     assert D.edit_distance(a, np.array([9, 1, 2, 3, 4, 9])) == 0
