@@ -22,8 +22,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Edits per word of an item that still count as a copy; shorter items take no part.
-EDITS, MIN_WORDS = 0.15, 8
+#: Edits per word of an item that still count as a copy; items without words take no part.
+EDITS, MIN_WORDS = 0.15, 1
 #: Shorter items have no walks: their pieces alone find every copy.
 WALK_WORDS = 8
 #: Steps per key, walks, and keys per walk. Walks find about 0.95 of the copies at the threshold
@@ -270,8 +270,8 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, *, block_words: int = BLOCK
     about ``block_words`` words, so memory is bounded however many there are;
     documents are never shuffled.
 
-    Null and empty texts hold nothing. Items that are null or have fewer than
-    eight words take no part; equal (item_id, text) rows are one item. Empty
+    Null and empty texts hold nothing. Items that are null or have no words
+    take no part; equal (item_id, text) rows are one item. Empty
     tables give no hits. A column ``hits`` of the input is replaced.
     """
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text").distinct()

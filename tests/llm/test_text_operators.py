@@ -223,7 +223,7 @@ def edited(rnd, w, edits):
     return w
 
 
-@pytest.mark.parametrize("length", [12, 60, 120, 300, 400])
+@pytest.mark.parametrize("length", [7, 12, 60, 120, 300, 400])
 def test_copies_at_the_threshold_are_found_whatever_the_length(length):
     rnd = random.Random(length)
     pool = [f"word{i}" for i in range(3000)]
@@ -238,6 +238,22 @@ def test_copies_at_the_threshold_are_found_whatever_the_length(length):
     assert all(e <= int(D.EDITS * length) for h in hits for _, _, e in h)
 
 
+def test_short_items_are_found(spark):
+    items = [(1, "Paris"), (2, "the red fox"), (3, "who wrote the book of seven"), (4, "how many legs has a spider then")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (10, "She went to Paris, at last.", "s"),
+        (11, "a red fox", "s"),
+        (12, "See the red\nfox", "s"),
+        (13, "Asked: who wrote the book of seven?", "s"),
+        (14, "who wrote a book of seven", "s"),
+        (15, "how many legs has the spider then", "s"),
+        (16, "how many arms has the spider then", "s"),
+    ]
+    got = {(r.doc_id, r.item_id, r.edits) for r in D.contaminated(docs_of(spark, rows), bench).collect()}
+    assert got == {(10, 1, 0), (12, 2, 0), (13, 3, 0), (15, 4, 1)}
+
+
 def test_edit_distance_by_hand():
     a = np.array([1, 2, 3, 4])
     assert D.edit_distance(a, np.array([9, 1, 2, 3, 4, 9])) == 0
