@@ -66,9 +66,56 @@ SENTENCES = {
         "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
         "following disclaimer in the documentation and or other materials provided with the distribution"
     ),
+    "bsd-endorse": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission"
+    ),
+    "apache-copy-at": "you may obtain a copy of the license at",
+    "apache-url": "http www apache org licenses license 2 0",
+    "apache-url-2": "https www apache org licenses license 2 0",
+    "mpl-form": "this source code form is subject to the terms of the mozilla public license v",
+    "isc-grant": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies"
+    ),
+    "isc-as-is": (
+        "the software is provided as is and the author disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness"
+    ),
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "cc0-title": "cc0 1 0 universal",
+    "cc0-notice": "licensed under cc0 1 0",
     "reserved": "all rights reserved",
 }
 
+# The GNU notices, as the splitter cuts them: after "free software" and WARRANTY, and where the
+# older ones have a semicolon before the version.
+_GNU = [
+    ("AGPL-3.0", "gnu affero general public license", "3"),
+    ("LGPL-3.0", "gnu lesser general public license", "3"),
+    ("LGPL-2.1", "gnu lesser general public license", "2 1"),
+    ("GPL-3.0", "gnu general public license", "3"),
+    ("GPL-2.0", "gnu general public license", "2"),
+]
+_GNU_RULES = []
+SENTENCES["gnu-warranty"] = "without even the implied warranty of merchantability or fitness for a particular purpose"
+for _id, _title, _version in _GNU:
+    _may, _see, _late, _whole = f"{_title[4:]}-may", f"{_title[4:]}-see", f"gnu-version-{_version}", f"{_id}-may"
+    SENTENCES[_may] = f"you can redistribute it and or modify it under the terms of the {_title} as published by the free software foundation"
+    SENTENCES[_late] = f"either version {_version} of the license or at your option any later version"
+    SENTENCES[_whole] = f"{SENTENCES[_may]} {SENTENCES[_late]}"
+    if _title != "gnu general public license":
+        SENTENCES[_see] = f"see the {_title} for more details"
+    else:
+        _see = "gpl-see"
+    for _work in ("program", "library", "software"):
+        SENTENCES[f"gnu-free-{_work}"] = f"this {_work} is free software"
+        SENTENCES[f"gnu-hope-{_work}"] = f"this {_work} is distributed in the hope that it will be useful but without any warranty"
+        for _body in ((_whole,), (_may, _late)):
+            _GNU_RULES.append((_id, "header", (f"gnu-free-{_work}", *_body, f"gnu-hope-{_work}", "gnu-warranty", _see)))
+            _GNU_RULES.append((_id, "notice", (f"gnu-free-{_work}", *_body)))
+    _GNU_RULES += [(_id, "notice", (_whole,)), (_id, "notice", (_may, _late))]
+
 # Licences as sequences of identifiers; the first rule that matches at a place wins.
 RULES = [
     ("MIT", "text", ("mit-grant", "mit-keep", "mit-as-is", "mit-liable")),
@@ -76,25 +123,38 @@ RULES = [
     ("MIT", "notice", ("mit-notice",)),
     ("MIT", "notice", ("mit-notice-2",)),
     ("Apache-2.0", "header", ("apache-notice-2", "apache-comply", "apache-copy", "apache-as-is", "apache-see")),
+    *(
+        ("Apache-2.0", "header", ("apache-notice-2", "apache-comply", "apache-copy-at", url, "apache-as-is", "apache-see"))
+        for url in ("apache-url", "apache-url-2")
+    ),
     ("Apache-2.0", "notice", ("apache-notice",)),
     ("Apache-2.0", "notice", ("apache-notice-2",)),
+    *_GNU_RULES,
     ("GPL-3.0", "header", ("gpl-free", "gpl-hope", "gpl-see")),
     ("GPL-3.0", "notice", ("gpl-free",)),
     ("GPL-3.0", "notice", ("gpl3-notice",)),
     ("CC-BY-NC-4.0", "notice", ("cc-by-nc-notice",)),
     ("CC-BY-SA-4.0", "notice", ("cc-by-sa-notice",)),
     ("CC-BY-4.0", "notice", ("cc-by-notice",)),
+    ("MPL-2.0", "notice", ("mpl-form",)),
+    ("ISC", "text", ("isc-grant", "isc-as-is")),
+    ("ISC", "grant", ("isc-grant",)),
+    ("Unlicense", "text", ("unlicense",)),
+    ("CC0-1.0", "text", ("cc0-title",)),
+    ("CC0-1.0", "notice", ("cc0-notice",)),
+    ("BSD-3-Clause", "text", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", "text", ("bsd-redistribute", "bsd-source", "bsd-binary")),
     ("proprietary", "reserved", ("reserved",)),
 ]
 
 #: Every known sentence holds one of these; texts without them are passed over.
-TRIGGERS = ("licen", "copyright", "warrant", "redistribut", "rights reserved")
+TRIGGERS = ("licen", "copyright", "warrant", "redistribut", "rights reserved", "free software", "public domain", "cc0")
 #: Foreign sentences allowed between two sentences of one rule.
 GAP = 2
 
 _WORD = re.compile(r"[^\W_]+")
-_END = re.compile(r"[.!?;:]+(?=\s|$)|\n\s*\n")
+# a line without words, such as a bare comment sign, is a blank one
+_END = re.compile(r"[.!?;:]+(?=\s|$)|\n[^\w\n]*\n")
 _LINE_END = re.compile(r"[.!?;:]+(?=\s|$)|\n")
 _KNOWN = {text: name for name, text in SENTENCES.items()}
 _LONGEST = max(t.count(" ") for t in SENTENCES.values()) + 2
@@ -156,7 +216,8 @@ def matches(text: str) -> list[tuple[str, str, int, int]]:
     """(licence, rule, place, sentences) in order of place; a sentence serves one match."""
     low = text.lower()
     if not any(t in low for t in TRIGGERS):
-        return []
+        if not any(t.split()[-1] in low for t in TRIGGERS) or not any(t in _normal(text) for t in TRIGGERS):
+            return []  # not over a line end either
     sequence = identifiers(text)
     known = [(n, at, name) for n, (at, name) in enumerate(sequence) if name]
     out, i = [], 0

@@ -310,6 +310,65 @@ def test_licences_by_hand(spark):
     assert N.licence_scan(docs_of(spark, [])).count() == 0
 
 
+def gnu(title, version, work="program", first=":", late=","):
+    return (
+        f"    This {work} is free software{first} you can redistribute it and/or modify\n    it under the terms of the {title} as published by\n"
+        f"    the Free Software Foundation{late} either version {version} of the License, or\n    (at your option) any later version.\n\n"
+        f"    This {work} is distributed in the hope that it will be useful,\n    but WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        f"    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n    {title} for more details.\n"
+    )
+
+
+APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\n'
+    "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to "
+    'in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either '
+    "express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License.\n"
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the "
+    "documentation\n   and/or other materials provided with the distribution.\n\n"
+)
+BSD3 = BSD + (
+    "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+    "   this software without specific prior written permission.\n"
+)
+
+
+@pytest.mark.parametrize(
+    "text,licence,rule",
+    [
+        (gnu("GNU General Public License", "3"), "GPL-3.0", "header"),
+        (gnu("GNU General Public License", "2", first=";", late=";"), "GPL-2.0", "header"),
+        (gnu("GNU Lesser General Public License", "2.1", "library", ";", ";"), "LGPL-2.1", "header"),
+        (gnu("GNU Lesser General Public License", "3"), "LGPL-3.0", "header"),
+        (gnu("GNU Affero General Public License", "3"), "AGPL-3.0", "header"),
+        (APACHE, "Apache-2.0", "header"),
+        ("\n".join(f"# {x}".rstrip() for x in APACHE.split("\n")), "Apache-2.0", "header"),
+        (BSD, "BSD-2-Clause", "text"),
+        (BSD3, "BSD-3-Clause", "text"),
+        (
+            "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\n"
+            "file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+            "MPL-2.0", "notice",
+        ),
+        (
+            "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+            "copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\n"
+            "WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS.",
+            "ISC", "text",
+        ),
+        ("This is free and unencumbered software released into the public\ndomain.", "Unlicense", "text"),
+        ("CC0 1.0 Universal\n\nStatement of Purpose", "CC0-1.0", "text"),
+        ("All rights\nreserved.", "proprietary", "reserved"),
+    ],
+)
+def test_standard_notices(text, licence, rule):
+    assert [m[:2] for m in N.matches(f"Something before.\n\n{text}\n\nand after.")] == [(licence, rule)]
+
+
 def test_scan_of_whole_table_against_plain_search(spark):
     import pyarrow.parquet as pq
     from conftest import TESTDATA
