@@ -1,0 +1,142 @@
+import hashlib
+import heapq
+import random
+import zlib
+from collections import Counter
+
+import pytest
+
+from halfstar.llm import queries as Q
+from halfstar.llm import turns as T
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def slow_repair(rows):
+    """Cheapest edits by a search over (cost, audit), one edit at a time."""
+    heap, done = [(0, "", 0, "start", ())], set()
+    while heap:
+        cost, audit, i, state, out = heapq.heappop(heap)
+        if i == len(rows) and state in ("start", "u"):
+            return cost, audit, out
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        after = {("start", "s"): "s", ("start", "u"): "a", ("s", "u"): "a", ("a", "a"): "u", ("u", "u"): "a"}
+        for name in ("user", "assistant"):
+            if (state, name[0]) in after and len(audit) < 3 * len(rows) + 6:
+                heapq.heappush(heap, (cost + 2, audit + "I", i, after[state, name[0]], (*out, (name, ""))))
+        if i < len(rows):
+            role, text, fault = rows[i]
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, state, out))
+            if fault not in ("b", "d"):
+                cut = fault == "t"
+                if (state, role[:1]) in after:
+                    heapq.heappush(heap, (cost + cut, audit + "K", i + 1, after[state, role[:1]], (*out, (role, text))))
+                for name in ("user", "assistant"):
+                    if (state, name[0]) in after:
+                        heapq.heappush(heap, (cost + cut + 2, audit + "R", i + 1, after[state, name[0]], (*out, (name, text))))
+
+
+def marked(rows):
+    seen, out = set(), []
+    for role, text in rows:
+        bare = text.rstrip(" \t\n\x0b\x0c\r")
+        fault = "b" if not bare else "d" if (role, text) in seen else "-" if bare[-1] in ".!?" else "t"
+        seen.add((role, text))
+        out.append((role, text, fault))
+    return out
+
+
+def slow_table(rows, damaged=True):
+    """The whole result, row by row in Python."""
+    found = {}
+    for conv, turn, role, text in rows:
+        group = found.setdefault(conv, [])
+        role, text = (" " if x is None else x for x in (role, text))
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(key.encode()) % 20 if damaged else 9
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if kind == 4:
+            role = "user"
+        group += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    out = []
+    for conv, group in found.items():
+        group.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        full = marked([r[1:] for r in group])
+        turns = [t for t, _, _ in group if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        n = Counter(f for _, _, f in full)
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(full, full[1:]))
+        cost, audit, kept = slow_repair(full)
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest()
+        out.append((conv, gaps, n["b"], n["d"], n["t"], illegal, cost, audit, digest))
+    return sorted(out, key=str)
+
+
+def random_rows(rnd, n):
+    roles = ["user", "assistant", "system", "tool", "", "user", "assistant", "ua"]
+    return [(rnd.choice(roles), rnd.choice(["Yes.", "No!", "cut", "", " \n", "end? ", f"text {rnd.random()}."])) for _ in range(n)]
+
+
+def test_cheapest_repair_and_audit():
+    rnd = random.Random(5)
+    for _ in range(3000):
+        full = marked(random_rows(rnd, rnd.randint(0, 9)))
+        rows = [(r[:1] if r[:1] in ("s", "u", "a") else "?", "x" if f in "bd" else f) for r, _, f in full]
+        assert T.repair(rows) == slow_repair(full)[:2], full
+
+
+def test_long_tables_are_computed_again_in_parts():
+    rnd = random.Random(6)
+    rows = [("ua"[i % 2], "-") for i in range(900)]
+    for _ in range(40):
+        i = rnd.randrange(len(rows))
+        rows[i] = (rnd.choice("sua"), rnd.choice("-tx"))
+    full = [({"s": "system", "u": "user", "a": "assistant"}[r], "x.", {"x": "b"}.get(f, f)) for r, f in rows]
+    assert T.repair(rows) == slow_repair(full)[:2]
+    assert len(T._Table(rows, 10).kept) <= 900 / T.STRIDE + 2
+
+
+def test_band_follows_the_incumbent():
+    rows = [("ua"[i % 2], "-") for i in range(1000)]
+    table = T._Table(rows, T._incumbent(rows))
+    assert max(len(r) for r in table.kept.values()) <= 4
+    assert T.repair(rows) == (0, "K" * 1000)
+
+
+@pytest.fixture(scope="module")
+def table():
+    rnd = random.Random(8)
+    rows = []
+    for conv in range(300):
+        turn = 0
+        for role, text in random_rows(rnd, rnd.randint(1, 8)):
+            rows.append((conv, turn if rnd.random() < 0.95 else None, role, text))
+            turn += rnd.choice([0, 1, 1, 1, 3])
+    rows += [(None, 0, "user", "Hello."), (None, 1, None, "So."), (None, None, "assistant", None), (900, None, "system", "É."), (901, 5, None, None)]
+    rows += [(902, i, ("user", "assistant")[i % 2], f"Turn {i // 3}.") for i in range(700)]
+    return rows
+
+
+def test_against_brute_force(spark, table):
+    df = spark.createDataFrame(table, SCHEMA).selectExpr("*", "1 as pos", "'x' as code", "2 as cost", "'y' as audit").repartition(5)
+    assert sorted(map(tuple, T.repair_turns(T.damage(df)).collect()), key=str) == slow_table(table)
+    assert sorted(map(tuple, T.repair_turns(df).collect()), key=str) == slow_table(table, damaged=False)
+
+
+def test_empty_and_very_long(spark):
+    assert T.repair_turns(T.damage(spark.createDataFrame([], SCHEMA))).count() == 0
+    rows = [(1, 0, "user", "word " * 400_000), (1, 1, "assistant", "x" * 2_000_000 + ".")]
+    assert sorted(map(tuple, T.repair_turns(spark.createDataFrame(rows, SCHEMA)).collect())) == slow_table(rows, damaged=False)
+
+
+def test_query_over_the_whole_table(spark):
+    from conftest import TESTDATA
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{TESTDATA}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = Q.queries()["op12_turn_repair"](spark, TESTDATA)
+    assert sorted(map(tuple, got.collect()), key=str) == slow_table(rows)
