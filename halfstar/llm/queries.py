@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halfstar.llm import chat, decontaminate, licences, lines, mixing, mtree, quality, simhash, tokens, turns, warc
+from halfstar.llm import chat, decontaminate, licences, lines, mixing, mtree, quality, simhash, spelling, tokens, turns, warc
 from halfstar.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(read(spark, sf_dir, "documents"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_turns(turns.damage(read(spark, sf_dir, "conversations")))
 
@@ -80,6 +84,7 @@ _ALL = (
     op8_decontamination,
     op9_licences,
     op10_token_counts,
+    op11_spelling,
     op12_turn_repair,
 )
 
