@@ -5,11 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Spark's own removal of shuffle files once the query that made them has ended.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,8 +64,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/halfstar/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within this block a query's shuffle files go when it ends, not when the driver collects garbage."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables that ``materialise`` has written and nobody reads any more."""
+    for df in written:
+        path = getattr(df, "scratch_path", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the shared folder and read it back; ``discard`` deletes the table.
 
     The written table survives executor loss, cuts the lineage, is read with
     column pruning and gives the optimizer a true size.
@@ -72,7 +100,9 @@ def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.scratch_path = path
+    return written
 
 
 ROWS_PER_TASK = 20_000

@@ -144,3 +144,16 @@ def test_dense_ids_are_sorted_and_gapless(spark, skewed):
 def test_support_features(spark, skewed):
     r = support_features(skewed).where("userId = 1 and movieId = 1").first()
     assert (r["n_movies_by_user"], r["n_users_by_movie"]) == (300, 301)
+
+
+def test_discarded_tables_are_gone(spark):
+    import os
+
+    from halfstar.session import CLEANUP_CONF, discard, freed_shuffles, materialise
+
+    with freed_shuffles(spark):
+        written = materialise(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "gone")
+        assert spark.conf.get(CLEANUP_CONF) == "true"
+    assert spark.conf.get(CLEANUP_CONF) == "false" and written.count() == 7
+    discard(written, spark.range(3))
+    assert not os.path.exists(written.scratch_path)
