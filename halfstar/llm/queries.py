@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halfstar.llm import chat, decontaminate, licences, lines, mixing, mtree, quality, simhash, spelling, tokens, turns, warc
+from halfstar.llm import chat, decontaminate, licences, lines, mixing, mtree, quality, simhash, spelling, suffixes, tokens, turns, warc
 from halfstar.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,14 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair_turns(turns.damage(read(spark, sf_dir, "conversations")))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.start)
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 _ALL = (
     op1_line_dedup,
     op2_simhash,
@@ -86,6 +94,7 @@ _ALL = (
     op10_token_counts,
     op11_spelling,
     op12_turn_repair,
+    op13_suffix_dedup,
 )
 
 
