@@ -18,6 +18,8 @@ WEIGHTS = (1, 2, 3)
 MOST = 3.0
 #: Documents one task rounds; more documents of a source are dealt to several tasks.
 LEAF = 2_000
+#: A fraction nearer to a whole number than this is that number.
+EPSILON = 1e-9
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -82,9 +84,8 @@ def round_chain(rows: pd.DataFrame, seed: int, last: bool) -> pd.DataFrame:
     rows = rows.sort_values(["size", "doc_id", "mark"], ascending=[False, True, True], na_position="last", kind="stable")
     size, p = rows["size"].to_numpy(float), rows["p"].to_numpy(float).copy()
     ids = list(zip(rows["doc_id"].tolist(), rows["mark"].tolist()))
-    eps = 1e-12
     held = -1
-    for i in np.flatnonzero((p > eps) & (p < 1 - eps)):
+    for i in np.flatnonzero((p >= EPSILON) & (p <= 1 - EPSILON)):
         if held < 0:
             held = i
             continue
@@ -94,7 +95,7 @@ def round_chain(rows: pd.DataFrame, seed: int, last: bool) -> pd.DataFrame:
         p[held] += step / size[held]
         p[i] -= step / size[i]
         for k in (held, i):
-            p[k] = 0.0 if p[k] < 1e-9 else 1.0 if p[k] > 1 - 1e-9 else p[k]
+            p[k] = 0.0 if p[k] < EPSILON else 1.0 if p[k] > 1 - EPSILON else p[k]
         open_ = [k for k in (held, i) if 0 < p[k] < 1]
         held = open_[0] if open_ else -1
     if last and held >= 0:
@@ -131,22 +132,27 @@ def mix(
     Null and empty texts have size 0 and take nothing. A null source is a
     source of its own, last in order. Rows equal in id and text but repeated
     are rounded one by one. An empty table, and one without words, gives
-    targets of 0. Other columns are not read.
+    targets of 0. Other columns are not read. Weights are any positive numbers.
     """
+    if not weights or min(weights) <= 0:
+        raise ValueError("weights must be positive")
+    leaf = max(2, leaf)  # a chain of one document would close nothing
     counted = materialise(sizes(docs), "mix-sizes")
     targets = source_targets(counted, weights, most)
     joined = counted.withColumnRenamed("source", "own").join(targets, F.col("own").eqNullSafe(F.col("source"))).drop("own")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(copies + 1e-12)
+    whole = F.floor(copies + EPSILON)
+    part = copies - whole
     state = materialise(
         joined.select(
             "doc_id", "size", "mark", "source", "source_size", "target", whole.cast("long").alias("whole"),
-            F.greatest(F.lit(0.0), copies - whole).alias("p"), F.lit(0).cast("long").alias("twin"),
+            F.when(part < EPSILON, 0.0).otherwise(part).alias("p"), F.lit(0).cast("long").alias("twin"),
         ),
         "mix-copies",
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    is_open = (F.col("p") > 0) & (F.col("p") < 1) & (F.col("size") > 0)
+    # The same bounds as in the chains: what is open here is traded there.
+    is_open = (F.col("p") >= EPSILON) & (F.col("p") <= 1 - EPSILON) & (F.col("size") > 0)
     done, level = [state.filter(~is_open)], 0
     waiting = state.filter(is_open)
     while True:
@@ -160,11 +166,12 @@ def mix(
 
         chains = chained.groupBy("own", "chain")
         state = materialise(chains.applyInPandas(_rounder(seed + level, last), f"doc_id {kind}, {_COLUMNS}"), "mix-round")
+        if last:
+            done.append(state)
+            break
         done.append(state.filter(~is_open))
         waiting = state.filter(is_open)
         level += 1
-        if last:
-            break
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

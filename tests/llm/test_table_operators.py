@@ -274,3 +274,36 @@ def test_chat_runs_no_python(spark):
     turns = spark.createDataFrame(talk(), "conv_id long, turn long, role string, text string")
     plan = H.digests(H.windows(turns))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def lists_of_sources(spark, per_source):
+    rows, i = [], 0
+    for source, sizes in per_source.items():
+        for n in sizes:
+            rows.append((i, " ".join(["w"] * n), source))
+            i += 1
+    return docs_of(spark, rows), len(rows)
+
+
+def test_mix_loses_no_row_for_any_weights(spark):
+    rnd = random.Random(11)
+    docs, n = lists_of_sources(spark, {"a": [1, 2], "b": [3, 3], "c": [1], None: [4, 1, 0]})
+    three, n3 = lists_of_sources(spark, {"a": [1, 2], "b": [3, 3], "c": [1]})
+    assert M.mix(three, weights=(0.3, 0.6, 0.1)).count() == n3
+    for _ in range(12):
+        weights = tuple(rnd.choice([0.1, 0.2, 0.3, 0.6, 1 / 3, rnd.random() + 1e-3]) for _ in range(rnd.randint(1, 4)))
+        got = M.mix(docs, weights=weights).collect()
+        assert len(got) == n, weights
+        for source_size in {r.source_size for r in got}:
+            mine = [r for r in got if r.source_size == source_size]
+            assert abs(sum(r.taken for r in mine) - sum({r.target for r in mine})) <= 2 * max(r.size for r in mine), weights
+    with pytest.raises(ValueError):
+        M.mix(docs, weights=(1, 0))
+
+
+def test_mix_ends_where_copies_are_whole_but_for_rounding(spark):
+    # 0.3 of 10 * n words on 3 * n words: one copy each, plus one rounding error
+    docs, n = lists_of_sources(spark, {"a": [1] * 60, "b": [1] * 120, "c": [1] * 20})
+    for leaf in (1, 10):
+        got = M.mix(docs, weights=(0.3, 0.6, 0.1), leaf=leaf).collect()
+        assert len(got) == n and all(r.taken == r.size for r in got)
