@@ -4,7 +4,8 @@ Users and items are dealt to B blocks each. An epoch is B rounds; in round s use
 block b meets item block (b + s) mod B, so that no two tasks share a factor row and
 every rating is visited once an epoch. A cell's ratings, its user block and its item
 block travel as three rows and meet in one task; item blocks move on to the next
-cell. All models of a grid (and all folds) are trained in the same jobs. The state
+cell. All models of a grid (and all folds) are trained in the same jobs; where blocks
+are fewer than cores, the models are dealt to groups that get the ratings each. The state
 after every epoch is a written table: one run gives the whole training curve, and
 training goes on from any state.
 
@@ -158,7 +159,8 @@ def _visit(rows: list[dict], models: list[Params], mean: float, blocks: int, fir
             if k == "u":
                 gained, penalty = (gained[0] + sse, gained[1] + n), penalty + unmet
             # Item blocks move to the cell of the user block that meets them next.
-            cell = row["block"] if k == "u" else (row["cell"] - 1) % blocks
+            base = row["cell"] % blocks
+            cell = row["cell"] - base + (row["block"] if k == "u" else (base - 1) % blocks)
             yield _packed(row, side, cell=cell, sse=gained[0], visited=gained[1], penalty=penalty)
 
 
@@ -169,9 +171,15 @@ def _put_averages(side: dict, averages: dict[int, tuple[np.ndarray, float, float
         side["b"][at], side["c"][at], side["d"][at] = averages[code]
 
 
-def _round(state: DataFrame, cells: DataFrame, s: int, models: list[Params], mean: float, blocks: int, first: bool, averages: dict, learn: bool) -> DataFrame:
+def _round(
+    state: DataFrame, cells: DataFrame, s: int, models: list[Params], mean: float, blocks: int, groups: int, averages: dict, learn: bool
+) -> DataFrame:
+    first = s == 0
     here = cells.where(F.col("block") == F.pmod(F.col("cell") + s, F.lit(blocks)))
-    together = state.unionByName(here).repartition(blocks, "cell").sortWithinPartitions("cell")
+    if groups > 1:
+        dealt = here.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        here = dealt.withColumn("cell", F.col("cell") + F.col("group") * blocks).drop("group")
+    together = state.unionByName(here).repartition(blocks * groups, "cell").sortWithinPartitions("cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -225,6 +233,7 @@ class Trained:
     models: list[Params]
     mean: float
     blocks: int
+    groups: int
     cells: DataFrame
     state: DataFrame
     codings: dict[str, Coding]
@@ -236,7 +245,7 @@ class Trained:
         done = state = self.state
         with freed_shuffles(state.sparkSession):
             for s in range(self.blocks):
-                state = _round(state, self.cells, s, self.models, self.mean, self.blocks, s == 0, self.averages, learn)
+                state = _round(state, self.cells, s, self.models, self.mean, self.blocks, self.groups, self.averages, learn)
                 if s % ROUNDS_PER_JOB == ROUNDS_PER_JOB - 1 or s == self.blocks - 1:
                     state = materialise(state, "descent-state")
                     if done is not self.state:
@@ -337,6 +346,7 @@ def prepare(train: DataFrame, models: list[Params], *, folds: int = 0, user: str
     rows = materialise(rows.withColumn("fold", fold.cast("int")), "descent-rows")
     found = rows.agg(F.count("*").alias("n"), F.avg("rating").alias("mean")).first()
     blocks = max(1, ceil(sqrt(found["n"] / rows_per_cell)))
+    groups = max(1, min(len(models), train.sparkSession.sparkContext.defaultParallelism // blocks))
     codings = {"u": Coding.of(rows, "userId", blocks, found["n"]), "i": Coding.of(rows, "movieId", blocks, found["n"])}
     coded = rows.select(codings["u"].code("movieId").alias("u"), codings["i"].code("userId").alias("i"), "rating", "fold")
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
@@ -359,13 +369,13 @@ def prepare(train: DataFrame, models: list[Params], *, folds: int = 0, user: str
         for model, p in enumerate(models):
             seed = p.seed + (kind == "i")
             side = {"a": ids, "b": first_vectors(ids, p.rank, seed), "c": np.zeros(len(ids)), "d": np.ones(len(ids)), "e": n}
-            out.append(_packed({"kind": kind, "model": model, "cell": place, "block": place, "sse": 0.0, "visited": 0, "penalty": 0.0}, side))
+            out.append(_packed({"kind": kind, "model": model, "cell": place + blocks * (model % groups), "block": place, "sse": 0.0, "visited": 0, "penalty": 0.0}, side))
         return pa.Table.from_pylist(out, schema=_SCHEMA)
 
     sides = [placed.groupBy(F.lit(k).alias("kind"), F.col(b).alias("block"), F.col(c).alias("code")).agg(F.count("*").alias("n")) for k, b, c in (("u", "cell", "u"), ("i", "block", "i"))]
     state = materialise(sides[0].unionByName(sides[1]).groupBy("kind", "block").applyInArrow(start, _STATE), "descent-start")
     discard(rows, placed)
-    return Trained(list(models), found["mean"] or 0.0, blocks, cells, state, codings)
+    return Trained(list(models), found["mean"] or 0.0, blocks, groups, cells, state, codings)
 
 
 def fit(train: DataFrame, params: Params, epochs: int = 20, **options) -> Trained:

@@ -344,6 +344,7 @@ def matrix_queries() -> dict[str, str]:
         "rating_matrix": with_(dense, "select u, i, sum(x) as x from cells group by u, i"),
         "matrix_block": with_(dense, """
             select u, i, sum(x) as x from cells where u <= 10 and i <= 10 group by u, i"""),
+        "svd_invariant": with_(dense, "select round(sum(x * x), 6) as total from cells where u <= 40 and i <= 40"),
         "user_cosine": pairs("userId", "movieId", "full"),
         "item_cosine": pairs("movieId", "userId", "full"),
         "item_cosine_corated": pairs("movieId", "userId", "corated"),
@@ -381,7 +382,20 @@ def neighbour_queries(k: int = 350) -> dict[str, str]:
     c as (select t.userId, t.movieId, t.rating - mean as c from train t join means using (userId)),
     devs as (select a.movieId as i, b.movieId as j, count(*) as cnt, avg(a.c - b.c) as dev
              from c a join c b on a.userId = b.userId and a.movieId <> b.movieId group by 1, 2)"""
+
+    def nearest(column: str, row: str) -> str:
+        return with_(centred, f"""
+            select i, j, sim from (
+              select *, row_number() over (partition by i order by sim desc, j) as rk from (
+                select a.{column} as i, b.{column} as j, round(sum(a.c * b.c) / (min(la.len) * min(lb.len)), 9) as sim
+                from c a join c b on a.{row} = b.{row} and a.{column} <> b.{column}
+                join (select {column} as id, sqrt(sum(c * c)) as len from c group by 1) la on la.id = a.{column} and la.len > 0
+                join (select {column} as id, sqrt(sum(c * c)) as len from c group by 1) lb on lb.id = b.{column} and lb.len > 0
+                group by 1, 2) where sim > 0) where rk <= {k}""")
+
     return {
+        "item_neighbours": nearest("movieId", "userId"),
+        "user_neighbours": nearest("userId", "movieId"),
         "center_ratings": with_(FACT, """
             select userId, movieId, rating, round(avg(rating) over (partition by userId), 6) as mean,
                    round(rating - avg(rating) over (partition by userId), 6) as centred from train"""),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from halfstar import sources as S
 from halfstar import streaming
 from halfstar.functions import title_parts
+from halfstar.operators import descent as D
 from halfstar.operators import effects as E
 from halfstar.operators import ensemble as T
 from halfstar.operators import explore as X
@@ -21,6 +22,7 @@ from halfstar.operators import matrix as M
 from halfstar.operators import neighbours as N
 from halfstar.operators import recommend as K
 from halfstar.operators import regularise as R
+from halfstar.operators import rsvd as V
 from halfstar.operators import split as Z
 from halfstar.operators.evaluate import SKIP, comparison, result_record, timed
 from halfstar.operators.ids import dense_ids, dense_table, support_features, with_dense
@@ -36,6 +38,8 @@ SIX = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 GENRE_MIN, YEAR_MIN, HISTOGRAM_BELOW, GENRE_MORE_THAN = 100, 500, 40, 100
 SVD_VALUES, NEIGHBOURS = 100, 350
 MF_RANKS, MF_REGS, CURVE_ITERATIONS = [10, 20, 30], [0.1, 0.2], list(range(1, 31))
+CORNER = 40
+SGD_RATES, SGD_EPOCHS, CURVE_STEP = [0.1, 0.2], 20, 15
 FOUR_WEEKS = 4 * 7 * 86400
 
 
@@ -426,6 +430,32 @@ def svd_factors(spark, sf_dir):
     )
 
 
+def svd_randomised(spark, sf_dir):
+    """Energy of the leading values, found in a fixed number of passes."""
+    matrix = train_matrix(prepare(spark, sf_dir))
+    return M.energy_table(spark, V.svd(matrix, SVD_VALUES, oversample=SVD_VALUES).values.tolist())
+
+
+def svd_invariant(spark, sf_dir):
+    """At full width the squared values of a corner of the matrix add up to its squared entries."""
+    matrix = train_matrix(prepare(spark, sf_dir)).where((F.col("u") <= CORNER) & (F.col("i") <= CORNER))
+    values = V.svd(matrix, CORNER).values
+    shown = spark.createDataFrame([(float((values**2).sum()),)], "total double")
+    return rounded(shown, "total")
+
+
+def item_neighbours(spark, sf_dir):
+    """The most similar movies of every movie by the cosine of centred ratings."""
+    train = prepare(spark, sf_dir).train
+    return N.item_similarity(N.center(train.select("userId", "movieId", "rating")), NEIGHBOURS).select("i", "j", "sim")
+
+
+def user_neighbours(spark, sf_dir):
+    """The most similar users of every user by the cosine of centred ratings."""
+    train = prepare(spark, sf_dir).train
+    return N.user_similarity(N.center(train.select("userId", "movieId", "rating")), NEIGHBOURS).select("i", "j", "sim")
+
+
 # --- neighbours and rules ------------------------------------------------------------
 
 
@@ -558,6 +588,54 @@ def als_training_curve(spark, sf_dir):
     return rounded(curve, "tr_rmse", "obj")
 
 
+def sgd_grid(p: Prepared) -> tuple[D.Params, DataFrame]:
+    """Best rank and learning rate of the first tuning, and the grid."""
+    return p.fitted("sgd grid", lambda: D.grid_search(p.train, MF_RANKS, SGD_RATES, epochs=10, folds=5))
+
+
+def sgd_tuned(p: Prepared) -> D.Trained:
+    """Refit with the tuned parameters; it goes on for the curve's epochs once it is scored."""
+    return p.fitted("sgd tuned", lambda: D.fit(p.train, sgd_grid(p)[0], epochs=SGD_EPOCHS))
+
+
+def sgd_curve(p: Prepared) -> DataFrame:
+    """All points from one run."""
+    return p.fitted("sgd curve", lambda: D.fit(p.train, sgd_grid(p)[0], epochs=len(CURVE_ITERATIONS)).curve_table())
+
+
+def mf_sgd(spark, sf_dir):
+    p = prepare(spark, sf_dir)
+    return _record("MF by SGD", sgd_tuned(p).score(p.holdout))
+
+
+def mf_sgd_grid(spark, sf_dir):
+    return rounded(sgd_grid(prepare(spark, sf_dir))[1], "rmse")
+
+
+def mf_sgd_curve(spark, sf_dir):
+    return rounded(sgd_curve(prepare(spark, sf_dir)).drop("model"), "tr_rmse", "obj")
+
+
+def mf_curve_step(spark, sf_dir):
+    """The curve's value at one step."""
+    curve = sgd_curve(prepare(spark, sf_dir))
+    return rounded(curve.where(F.col("iter") == CURVE_STEP).select("iter", "tr_rmse"), "tr_rmse")
+
+
+def _biased_sgd(method: str, bounded: bool) -> Query:
+    """Biases and factors fitted jointly, with a linear or a bounded link."""
+
+    def run(spark, sf_dir):
+        p = prepare(spark, sf_dir)
+        columns = ["userId", "movieId", "rating"]
+        full = p.train.select(columns).unionByName(p.holdout.select(columns))
+        train, valid = Z.share_split(full, 0.9, "latent")
+        bounds = L.rating_range(train) if bounded else None
+        return _record(method, D.fit(train, D.Params(rank=50, rate=0.1, bounds=bounds), epochs=10).score(valid))
+
+    return run
+
+
 def factor_score(spark, sf_dir):
     p = prepare(spark, sf_dir)
     scored = als_fit(p)[1].score(p.holdout.select("userId", "movieId", "rating"))
@@ -782,6 +860,10 @@ def queries() -> dict[str, Query]:
         "item_cosine": on_train(lambda t: similarity(M.item_cosine(t))),
         "item_cosine_corated": on_train(lambda t: similarity(M.item_cosine(t, norm="corated"))),
         "svd_energy": svd_energy,
+        "svd_randomised": svd_randomised,
+        "svd_invariant": svd_invariant,
+        "item_neighbours": item_neighbours,
+        "user_neighbours": user_neighbours,
         "center_ratings": on_train(
             lambda t: rounded(N.center(t.select("userId", "movieId", "rating")), "mean", "centred")
         ),
@@ -796,6 +878,12 @@ def queries() -> dict[str, Query]:
         "als_rank10": als_rank10,
         "als_rank20": als_rank20,
         "als_training_curve": als_training_curve,
+        "mf_sgd_grid": mf_sgd_grid,
+        "mf_sgd": mf_sgd,
+        "mf_sgd_curve": mf_sgd_curve,
+        "mf_curve_step": mf_curve_step,
+        "biased_sgd_bounded": _biased_sgd("Biased factors by SGD, bounded", True),
+        "biased_sgd_linear": _biased_sgd("Biased factors by SGD, linear", False),
         "factor_score": factor_score,
         "model_roundtrip": model_roundtrip,
         "gbt_support": _tree("gbt_support", True),
