@@ -116,6 +116,48 @@ for _id, _title, _version in _GNU:
             _GNU_RULES.append((_id, "notice", (f"gnu-free-{_work}", *_body)))
     _GNU_RULES += [(_id, "notice", (_whole,)), (_id, "notice", (_may, _late))]
 
+# Sentences with free words; ``*`` stands for 1 to 12 words, a holder or an organisation.
+TEMPLATES = {
+    "bsd-endorse": [
+        "neither the name of * nor the names of * may be used to endorse or promote products derived from this software without specific prior written permission",
+        "neither the names of * nor the names of * may be used to endorse or promote products derived from this software without specific prior written permission",
+        "neither * nor the names of * may be used to endorse or promote products derived from this software without specific prior written permission",
+        "the name of * may not be used to endorse or promote products derived from this software without specific prior written permission",
+        "the names of * may not be used to endorse or promote products derived from this software without specific prior written permission",
+        # behind a name with a full stop, such as "Inc."
+        "nor the names of * may be used to endorse or promote products derived from this software without specific prior written permission",
+        "nor the name of * may be used to endorse or promote products derived from this software without specific prior written permission",
+        "may not be used to endorse or promote products derived from this software without specific prior written permission",
+    ],
+}
+# Names that prose gives to licences, normalised.
+TITLES = {
+    "MIT": ["mit license", "mit licence", "expat license"],
+    "Apache-2.0": ["apache license version 2 0", "apache license 2 0", "apache 2 0 license", "apache licence 2 0"],
+    "BSD-2-Clause": ["bsd 2 clause license", "2 clause bsd license", "simplified bsd license"],
+    "BSD-3-Clause": ["bsd 3 clause license", "3 clause bsd license", "new bsd license", "modified bsd license"],
+    "GPL-2.0": ["gnu general public license version 2", "gnu general public license v2", "gnu gpl v2", "gplv2"],
+    "GPL-3.0": ["gnu general public license version 3", "gnu general public license v3", "gnu gpl v3", "gplv3"],
+    "LGPL-2.1": ["gnu lesser general public license version 2 1", "gnu lesser general public license v2 1", "lgplv2 1"],
+    "LGPL-3.0": ["gnu lesser general public license version 3", "gnu lesser general public license v3", "lgplv3"],
+    "AGPL-3.0": ["gnu affero general public license version 3", "gnu affero general public license v3", "agplv3"],
+    "MPL-2.0": ["mozilla public license version 2 0", "mozilla public license v 2 0", "mozilla public license 2 0"],
+    "EPL-2.0": ["eclipse public license version 2 0", "eclipse public license v 2 0", "eclipse public license 2 0"],
+    "BSL-1.0": ["boost software license version 1 0", "boost software license 1 0"],
+    "ISC": ["isc license", "isc licence"],
+    "CC-BY-4.0": ["creative commons attribution 4 0 international license", "creative commons attribution 4 0 license"],
+    "CC-BY-SA-4.0": ["creative commons attribution sharealike 4 0 international license", "creative commons attribution share alike 4 0 international license"],
+    "CC-BY-NC-4.0": ["creative commons attribution noncommercial 4 0 international license"],
+}
+# Identifiers of SPDX lines, normalised; a suffix -only or -or-later is left out.
+SPDX = {
+    "mit": "MIT", "apache 2 0": "Apache-2.0", "bsd 2 clause": "BSD-2-Clause", "bsd 3 clause": "BSD-3-Clause", "gpl 2 0": "GPL-2.0",
+    "gpl 3 0": "GPL-3.0", "lgpl 2 1": "LGPL-2.1", "lgpl 3 0": "LGPL-3.0", "agpl 3 0": "AGPL-3.0", "mpl 2 0": "MPL-2.0", "epl 2 0": "EPL-2.0",
+    "bsl 1 0": "BSL-1.0", "isc": "ISC", "unlicense": "Unlicense", "cc0 1 0": "CC0-1.0", "cc by 4 0": "CC-BY-4.0", "cc by sa 4 0": "CC-BY-SA-4.0",
+}
+SENTENCES["spdx-mark"] = "spdx license identifier"
+SENTENCES |= {f"spdx-{text}{end}": text + end for text in SPDX for end in ("", " only", " or later")}
+
 # Licences as sequences of identifiers; the first rule that matches at a place wins.
 RULES = [
     ("MIT", "text", ("mit-grant", "mit-keep", "mit-as-is", "mit-liable")),
@@ -144,11 +186,13 @@ RULES = [
     ("CC0-1.0", "notice", ("cc0-notice",)),
     ("BSD-3-Clause", "text", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", "text", ("bsd-redistribute", "bsd-source", "bsd-binary")),
+    *((licence, "reference", (f"under-{licence}",)) for licence in TITLES),
+    *((SPDX[text], "spdx", ("spdx-mark", f"spdx-{text}{end}")) for text in SPDX for end in ("", " only", " or later")),
     ("proprietary", "reserved", ("reserved",)),
 ]
 
 #: Every known sentence holds one of these; texts without them are passed over.
-TRIGGERS = ("licen", "copyright", "warrant", "redistribut", "rights reserved", "free software", "public domain", "cc0")
+TRIGGERS = ("licen", "gplv", "copyright", "warrant", "redistribut", "rights reserved", "free software", "public domain", "cc0")
 #: Foreign sentences allowed between two sentences of one rule.
 GAP = 2
 
@@ -165,8 +209,29 @@ def _normal(text: str) -> str:
     return " ".join(_WORD.findall(text.lower()))
 
 
+_FREE = [(name, re.compile(t.replace("*", r"\w+(?: \w+){0,11}"))) for name, texts in TEMPLATES.items() for t in texts]
+_UNDER = re.compile(
+    r"\b(?:licen[sc]ed|released|distributed|available|published|provided|covered|shared) (?:to you )?(?:under|by) (?:the )?(?:terms of )?(?:the |an? )?("
+    + "|".join(sorted((t for texts in TITLES.values() for t in texts), key=len, reverse=True))
+    + r")\b"
+)
+_TITLE_OF = {text: licence for licence, texts in TITLES.items() for text in texts}
+#: Words of a sentence that names its licence in passing, at most.
+PROSE_WORDS = 60
+
+
 def _name(sentence: str) -> str | None:
-    return _KNOWN.get(sentence) or _KNOWN.get(_LIST_MARK.sub("", sentence))
+    """Identifier of a normalised sentence: as it stands, without a list mark, with free words, or by a licence's title in prose."""
+    bare = _LIST_MARK.sub("", sentence)
+    if name := _KNOWN.get(sentence) or _KNOWN.get(bare):
+        return name
+    if "endorse" in bare:
+        for name, pattern in _FREE:
+            if pattern.fullmatch(bare):
+                return name
+    if (" under " in sentence or " by " in sentence) and sentence.count(" ") < PROSE_WORDS and (found := _UNDER.search(sentence)):
+        return f"under-{_TITLE_OF[found[1]]}"
+    return None
 
 
 def _segments(text: str, end: re.Pattern) -> Iterator[tuple[int, int]]:

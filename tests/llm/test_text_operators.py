@@ -385,3 +385,32 @@ def test_scan_of_whole_table_against_plain_search(spark):
     expected = {(r["doc_id"], name) for r in table for name, line in notices.items() if line in r["text"].split("\n")}
     got = {(r.doc_id, r.licence) for r in op9_licences(spark, TESTDATA).collect() if r.licence in notices}
     assert expected and got == expected
+
+
+@pytest.mark.parametrize("holder", ["Example Inc.", "the University", "the copyright holder", "the <organization>", "Foo Bar, Baz & Co"])
+def test_bsd3_with_any_name_is_never_bsd2(holder):
+    text = BSD + (
+        f"\n3. Neither the name of {holder} nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission.\n"
+    )
+    assert [m[0] for m in N.matches(text)] == ["BSD-3-Clause"]
+
+
+@pytest.mark.parametrize(
+    "text,licence,rule",
+    [
+        ("This project is released under the MIT License.", "MIT", "reference"),
+        ("The code is licensed under the MIT license", "MIT", "reference"),
+        ("Our tool, as a whole, is distributed under the terms of the GNU General Public License version 2 only.", "GPL-2.0", "reference"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0", "reference"),
+        ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0", "reference"),
+        ("// SPDX-License-Identifier: Apache-2.0\nint main() {}", "Apache-2.0", "spdx"),
+        ("# SPDX-License-Identifier: GPL-3.0-or-later\n", "GPL-3.0", "spdx"),
+    ],
+)
+def test_names_of_licences_in_prose_and_spdx_lines(text, licence, rule):
+    assert [m[:2] for m in N.matches(text)] == [(licence, rule)]
+
+
+def test_mit_alone_is_no_licence():
+    assert N.matches("MIT.\nShe studied at MIT. The license of her car was renewed.") == []
