@@ -498,6 +498,7 @@ def further_queries() -> dict[str, str]:
             select (select count(*) from holdout) as rows, userId from holdout order by {USER_HASH}, userId limit 1"""),
         "rating_range": with_(FACT, "select min(rating) as least, max(rating) as most from train"),
         "recommend_batch": with_(EFFECTS, "\nunion all\n".join(picks)),
+        "recommend_pruned": with_(EFFECTS, "\nunion all\n".join(picks)),
         "factor_score_effects": with_(EFFECTS, """
             select userId, movieId, rating, round(b_u + mu + b_i, 6) as pred from scored"""),
         "rekeyed_removed": with_(rekeyed_fact, f"select {six} from removed"),

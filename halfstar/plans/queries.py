@@ -23,6 +23,7 @@ from halfstar.operators import neighbours as N
 from halfstar.operators import recommend as K
 from halfstar.operators import regularise as R
 from halfstar.operators import rsvd as V
+from halfstar.operators import serving
 from halfstar.operators import split as Z
 from halfstar.operators.evaluate import SKIP, comparison, result_record, timed
 from halfstar.operators.ids import dense_ids, dense_table, support_features, with_dense
@@ -39,6 +40,7 @@ GENRE_MIN, YEAR_MIN, HISTOGRAM_BELOW, GENRE_MORE_THAN = 100, 500, 40, 100
 SVD_VALUES, NEIGHBOURS = 100, 350
 MF_RANKS, MF_REGS, CURVE_ITERATIONS = [10, 20, 30], [0.1, 0.2], list(range(1, 31))
 CORNER = 40
+SERVED_BLOCK = 1024
 SGD_RATES, SGD_EPOCHS, CURVE_STEP = [0.1, 0.2], 20, 15
 FOUR_WEEKS = 4 * 7 * 86400
 
@@ -777,6 +779,20 @@ def recommend_batch(spark, sf_dir):
     )
 
 
+def recommend_pruned(spark, sf_dir):
+    """The rows of ``recommend_batch``, by blocks of items that can still hold a pick."""
+    p = prepare(spark, sf_dir)
+    factors = p.fitted("effect factors", lambda: effect_factors(p))
+    seen = p.train.select("userId", "movieId")
+    served = {
+        kind: serving.recommend_pruned(factors, p.movie_table, seen=left_out, item_block=SERVED_BLOCK)
+        for kind, left_out in (("all", None), ("unseen", seen))
+    }
+    return union(
+        *[labelled(kind, s.picks, "among").drop("title", "genres", "year") for kind, s in served.items()]
+    )
+
+
 def factor_score_effects(spark, sf_dir):
     p = prepare(spark, sf_dir)
     factors = p.fitted("effect factors", lambda: effect_factors(p))
@@ -898,6 +914,7 @@ def queries() -> dict[str, Query]:
         "recommend_top_bottom": recommend_top_bottom,
         "recommend_effects": recommend_effects,
         "recommend_batch": recommend_batch,
+        "recommend_pruned": recommend_pruned,
         "factor_score_effects": factor_score_effects,
         "svd_factors": svd_factors,
         "cf_rmse": cf_rmse,
