@@ -531,6 +531,101 @@ def serving_queries(k: int = 10) -> dict[str, str]:
     }
 
 
+def fitted_queries(k: int = 350) -> dict[str, str]:
+    """The exact parts of the model queries: encodings, coverage, biases, blends, saved models."""
+    fold = f"cast((({ROW_HASH}) // 10) % 3 as integer)"
+    inputs = f"""{FACT},
+    rows as (select userId, movieId, rating, {fold} as fold from train
+             where ({SPLIT_SALTED.format(salt='trees')}) % 1000 < 700),
+    overall as (select avg(rating) as mu from rows),
+    encoded as (select userId, movieId, rating, fold, """ + ", ".join(
+        f"""(sum(rating) over (partition by {key}) - sum(rating) over (partition by {key}, fold) + 5 * mu)
+            / (count(*) over (partition by {key}) - count(*) over (partition by {key}, fold) + 5) as te_{key}"""
+        for key in ("movieId", "userId")) + " from rows, overall)"
+    sums = """sums as (select count(*) as n, avg(te_movieId) as mx, avg(te_userId) as mz, avg(rating) as my,
+        covar_pop(te_movieId, te_movieId) as xx, covar_pop(te_userId, te_userId) as zz,
+        covar_pop(te_movieId, te_userId) as xz, covar_pop(te_movieId, rating) as xy,
+        covar_pop(te_userId, rating) as zy from encoded),
+    solved as (select *, (xy * zz - zy * xz) / (xx * zz - xz * xz) as wx,
+                      (zy * xx - xy * xz) / (xx * zz - xz * xz) as wz from sums)"""
+    squares = """sums as (select blend, term2, sum(x * x) as xx, sum(z * z) as zz, sum(x * z) as xz,
+                                 sum(x * rating) as xy, sum(z * rating) as zy
+      from (select 'both' as blend, 'te_userId' as term2, te_movieId as x, te_userId as z, rating from encoded
+            union all select 'one', 'turned', te_movieId, -te_userId, rating from encoded) group by blend, term2),
+    free as (select *, (xy * zz - zy * xz) / (xx * zz - xz * xz) as fx,
+                    (zy * xx - xy * xz) / (xx * zz - xz * xz) as fz from sums),
+    solved as (select blend, term2,
+        case when fx >= 0 and fz >= 0 then fx
+             when greatest(xy, 0) * greatest(xy, 0) / xx >= greatest(zy, 0) * greatest(zy, 0) / zz
+             then greatest(xy, 0) / xx else 0 end as wx,
+        case when fx >= 0 and fz >= 0 then fz
+             when greatest(xy, 0) * greatest(xy, 0) / xx >= greatest(zy, 0) * greatest(zy, 0) / zz
+             then 0 else greatest(zy, 0) / zz end as wz from free)"""
+    logit = f"""{FACT},
+    everything as (select userId, movieId, rating from train union all select userId, movieId, rating from holdout),
+    part as (select * from everything where ({SPLIT_SALTED.format(salt='latent')}) % 1000 < 900),
+    ends as (select min(rating) as lo, max(rating) as hi from part),
+    placed as (select userId, movieId, greatest(0.05, least(0.95, (rating - lo) / (hi - lo))) as share from part, ends),
+    odds as (select userId, movieId, ln(share / (1 - share)) as rating from placed),
+    mu as (select avg(rating) as mu from odds),
+    bi as (select movieId, avg(rating - mu) as b_i from odds, mu group by movieId),
+    bu as (select userId, avg(rating - mu - b_i) as b_u from odds join bi using (movieId), mu group by userId)"""
+    folds = f"""{FACT},
+    rows as (select userId, movieId, rating, {fold} as fold from train),
+    cases as (select f as out, penalty from (values (0), (1), (2)) a(f), (values (0.0), (2.0), (5.0), (10.0)) b(penalty)),
+    inside as (select out, cast(penalty as double) as penalty, userId, movieId, rating from cases join rows on fold <> out),
+    mus as (select out, penalty, avg(rating) as mu from inside group by 1, 2),
+    bis as (select out, penalty, movieId, sum(rating - mu) / (count(*) + penalty) as b_i
+            from inside join mus using (out, penalty) group by 1, 2, 3),
+    bus as (select out, penalty, userId, sum(rating - mu - b_i) / (count(*) + penalty) as b_u
+            from inside join mus using (out, penalty) join bis using (out, penalty, movieId) group by 1, 2, 3),
+    errors as (select m.out, m.penalty,
+                      sqrt(avg(power(r.rating - mu - coalesce(b_i, 0) - coalesce(b_u, 0), 2))) as e
+               from rows r join mus m on m.out = r.fold
+               left join bis i on i.out = m.out and i.penalty = m.penalty and i.movieId = r.movieId
+               left join bus u on u.out = m.out and u.penalty = m.penalty and u.userId = r.userId group by 1, 2),
+    tuned as (select penalty, avg(e) as e from errors group by penalty)"""
+    near = f"""{FACT},
+    means as (select userId, avg(rating) as mean from train group by userId),
+    c as (select t.userId, movieId, rating - mean as c from train t join means using (userId)),
+    len as (select movieId, sqrt(sum(c * c)) as len from c group by movieId),
+    dots as (select a.movieId as i, b.movieId as j, sum(a.c * b.c) as dot
+             from c a join c b on a.userId = b.userId and a.movieId <> b.movieId group by 1, 2),
+    sims as (select i, j, round(dot / (li.len * lj.len), 9) as sim from dots
+             join len li on li.movieId = i join len lj on lj.movieId = j where li.len > 0 and lj.len > 0),
+    nearest as (select * from (select *, row_number() over (partition by i order by sim desc, j) as rk
+                               from sims where sim > 0) where rk <= {k}),
+    votes as (select h.userId, h.movieId, sum(sim * c.c) / sum(sim) as b from holdout h
+              join nearest on i = h.movieId join c on c.userId = h.userId and c.movieId = j group by 1, 2)"""
+    return {
+        "tree_features": with_(inputs, """
+            select userId, movieId, fold, round(te_movieId, 6) as te_movieId, round(te_userId, 6) as te_userId
+            from encoded"""),
+        "oof_coverage": with_(inputs, """
+            select fold, count(*) as n, count(*) as n_gbt, count(*) as n_rf,
+                   count(distinct (userId, movieId)) as n_pairs, round(sum(rating), 6) as sum_rating
+            from rows group by fold"""),
+        "stack_fixed": with_(f"{inputs}, {sums}", """
+            select 'intercept' as term, round(my - wx * mx - wz * mz, 6) as weight from solved
+            union all select 'te_movieId', round(wx, 6) from solved
+            union all select 'te_userId', round(wz, 6) from solved"""),
+        "stacked_nonnegative": with_(f"{inputs}, {squares}", """
+            select blend, 'te_movieId' as term, round(wx, 6) as weight from solved
+            union all select blend, term2, round(wz, 6) from solved"""),
+        "latent_logit_biases": with_(logit, """
+            select 'b_i' as kind, movieId as id, round(b_i, 6) as bias from bi
+            union all select 'b_u', userId, round(b_u, 6) from bu"""),
+        "effect_folds": with_(folds, """
+            select penalty, round(e, 6) as rmse, e = (select min(e) from tuned) as best from tuned"""),
+        "effect_roundtrip": with_(EFFECTS, "select userId, movieId, rating, round(mu + b_i + b_u, 6) as pred from scored"),
+        "slope_one_roundtrip": neighbour_queries()["slope_one"],
+        "item_model_roundtrip": with_(near, """
+            select h.userId, h.movieId, h.rating,
+                   round(coalesce(mean, (select avg(rating) from train)) + coalesce(b, 0), 6) as pred
+            from holdout h left join means using (userId) left join votes using (userId, movieId)"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **source_queries(),
@@ -542,4 +637,5 @@ def oracle_sql() -> dict[str, str]:
         **neighbour_queries(),
         **serving_queries(),
         **further_queries(),
+        **fitted_queries(),
     }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALSModel
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from halfstar.operators import explore as X
 from halfstar.operators import factor as A
 from halfstar.operators import latent as L
 from halfstar.operators import matrix as M
+from halfstar.operators import models
 from halfstar.operators import neighbours as N
 from halfstar.operators import recommend as K
 from halfstar.operators import regularise as R
@@ -41,6 +44,7 @@ SVD_VALUES, NEIGHBOURS = 100, 350
 MF_RANKS, MF_REGS, CURVE_ITERATIONS = [10, 20, 30], [0.1, 0.2], list(range(1, 31))
 CORNER = 40
 SERVED_BLOCK = 1024
+FOLD_PENALTIES = [0.0, 2.0, 5.0, 10.0]
 SGD_RATES, SGD_EPOCHS, CURVE_STEP = [0.1, 0.2], 20, 15
 FOUR_WEEKS = 4 * 7 * 86400
 
@@ -663,6 +667,50 @@ def _biased(method: str, bounded: bool) -> Query:
     return run
 
 
+def latent_logit_biases(spark, sf_dir):
+    """Biases of the bounded model, fitted on log-odds of the rating's place in its range."""
+    columns = ["userId", "movieId", "rating"]
+    p = prepare(spark, sf_dir)
+    full = p.train.select(columns).unionByName(p.holdout.select(columns))
+    _, biases, _ = L.fit_biases(Z.share_split(full, 0.9, "latent")[0], bounded=True)
+    parts = [
+        labelled(name, biases.tables[name].df.select(F.col(E.KEYS[name]).alias("id"), F.col(name).alias("bias")))
+        for name in ("b_i", "b_u")
+    ]
+    return rounded(union(*parts), "bias")
+
+
+# --- models saved and tuned as ML estimators -------------------------------------------
+
+
+def _reloaded(fit: Callable[[], models.Estimator]) -> Query:
+    """Fit, save, load, and score the holdout with what was loaded."""
+
+    def run(spark, sf_dir):
+        p = prepare(spark, sf_dir)
+        model = fit().fit(p.train.select("userId", "movieId", "rating"))
+        path = scratch_path(spark, "saved-model")
+        model.write().save(path)
+        scored = type(model).load(path).transform(p.holdout.select("userId", "movieId", "rating"))
+        return rounded(scored.withColumnRenamed("prediction", "pred"), "pred")
+
+    return run
+
+
+def effect_folds(spark, sf_dir):
+    """Penalties of the effect model tuned by cross-validation: mean RMSE of the folds."""
+    rows = prepare(spark, sf_dir).train.select("userId", "movieId", "rating", Z.fold_of(3).alias("fold"))
+    estimator = models.MovieUserEffects(missing="zero")
+    grid = ParamGridBuilder().addGrid(estimator.penalty, FOLD_PENALTIES).build()
+    fitted = CrossValidator(
+        estimator=estimator, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="rating"),
+        numFolds=3, foldCol="fold", parallelism=len(grid),
+    ).fit(rows)
+    best = fitted.bestModel.getOrDefault("penalty")
+    table = [(x, float(m), x == best) for x, m in zip(FOLD_PENALTIES, fitted.avgMetrics)]
+    return rounded(spark.createDataFrame(table, "penalty double, rmse double, best boolean"), "rmse")
+
+
 # --- trees and ensemble --------------------------------------------------------------
 
 
@@ -739,6 +787,43 @@ def oof_predictions(spark, sf_dir):
     return rounded(_both_oof(prepare(spark, sf_dir)), "gbt", "rf")
 
 
+def _encoded(p: Prepared) -> DataFrame:
+    """Rows of every fold with the encodings learnt outside it."""
+    return reduce(DataFrame.unionByName, fold_inputs(p).score)
+
+
+def tree_features(spark, sf_dir):
+    encoded = _encoded(prepare(spark, sf_dir))
+    return rounded(encoded.select("userId", "movieId", "fold", "te_movieId", "te_userId"), "te_movieId", "te_userId")
+
+
+def oof_coverage(spark, sf_dir):
+    """Every row is scored by both models, once, in its own fold."""
+    return _both_oof(prepare(spark, sf_dir)).groupBy("fold").agg(
+        F.count("*").alias("n"), F.count("gbt").alias("n_gbt"), F.count("rf").alias("n_rf"),
+        F.count_distinct("userId", "movieId").alias("n_pairs"), F.round(F.sum("rating"), 6).alias("sum_rating"),
+    )
+
+
+def stack_fixed(spark, sf_dir):
+    """The linear blend, with the two encodings in place of model scores."""
+    columns = ["te_movieId", "te_userId"]
+    blend = T.stack(_encoded(prepare(spark, sf_dir)), columns)
+    table = [("intercept", float(blend.intercept)), *zip(columns, blend.coefficients.toArray().tolist())]
+    return rounded(spark.createDataFrame(table, "term string, weight double"), "weight")
+
+
+def stacked_nonnegative(spark, sf_dir):
+    """Blends by weights that are not below 0; in the second one the second column has to stay out."""
+    encoded = _encoded(prepare(spark, sf_dir)).withColumn("turned", -F.col("te_userId"))
+    table = [
+        (name, term, float(w))
+        for name, columns in (("both", ["te_movieId", "te_userId"]), ("one", ["te_movieId", "turned"]))
+        for term, w in T.stack_nonnegative(encoded, columns).items()
+    ]
+    return rounded(spark.createDataFrame(table, "blend string, term string, weight double"), "weight")
+
+
 def stacked_ensemble(spark, sf_dir):
     p = prepare(spark, sf_dir)
     blend = T.stack(_both_oof(p), list(STACKED))
@@ -907,6 +992,15 @@ def queries() -> dict[str, Query]:
         "gbt_ids": _tree("gbt_ids", True),
         "rf_support": _tree("rf_support", False),
         "rf_ids": _tree("rf_ids", True),
+        "latent_logit_biases": latent_logit_biases,
+        "effect_roundtrip": _reloaded(models.MovieUserEffects),
+        "slope_one_roundtrip": _reloaded(models.SlopeOne),
+        "item_model_roundtrip": _reloaded(partial(models.ItemNeighbours, k=NEIGHBOURS)),
+        "effect_folds": effect_folds,
+        "tree_features": tree_features,
+        "oof_coverage": oof_coverage,
+        "stack_fixed": stack_fixed,
+        "stacked_nonnegative": stacked_nonnegative,
         "oof_predictions": oof_predictions,
         "stacked_ensemble": stacked_ensemble,
         "biased_factor_bounded": _biased("Biased factors, bounded", True),
