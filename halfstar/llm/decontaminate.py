@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 EDITS, MIN_WORDS = 0.15, 1
 #: Shorter items have no walks: their pieces alone find every copy.
 WALK_WORDS = 8
-#: Steps per key, walks, and keys per walk. Walks find about 0.95 of the copies at the threshold
-#: for items of some tens of words; pieces find the rest.
-SAMPLE, WALKS, KEYS = 3, 3, 16
+#: Steps per key and keys per walk.
+SAMPLE, KEYS = 3, 16
+#: Slots of the word filter per word of an item.
+SLOTS = 16
 #: Words of benchmark broadcast at once, a few tens of MB; more items are searched block by block.
 BLOCK_WORDS = 500_000
 #: Words of documents looked at together.
@@ -54,24 +55,33 @@ def edit_distance(item: np.ndarray, region: np.ndarray) -> int:
     return int(row.min())
 
 
+def walks_of(length: int) -> int:
+    """Walks of a window: long ones drift further apart at the threshold, so they are walked more often."""
+    return 3 if length <= 100 else 5 if length <= 200 else 8
+
+
 class _Class:
     """Items of about one length: their keys in every walk and sample."""
 
     def __init__(self, length: int, items: list[tuple[int, np.ndarray]], vocabulary: int):
         self.length, self.items = length, items
         self.least = length - max(int(EDITS * len(i)) for _, i in items)
-        self.bag = np.zeros((len(items), vocabulary), np.int16)
-        for row, (_, i) in enumerate(items):
-            np.add.at(self.bag[row], i, 1)
-        self.known = self.bag.any(0)
+        # how often a word stands in an item, sparse: sorted keys item * vocabulary + word, and counts
+        self.vocabulary = vocabulary
+        in_items = np.concatenate([row * vocabulary + i.astype(np.int64) for row, (_, i) in enumerate(items)])
+        self.bag, self.count = np.unique(in_items, return_counts=True)
+        self.known = np.zeros(vocabulary, bool)
+        self.known[self.bag % vocabulary] = True
         self.most = np.array([int(EDITS * len(i)) for _, i in items])
         rng = np.random.default_rng(length)
-        self.samples = [np.sort(rng.integers(0, 2 * length, (KEYS, SAMPLE)), axis=1) for _ in range(WALKS)]
+        self.samples = [np.sort(rng.integers(0, 2 * length, (KEYS, SAMPLE)), axis=1) for _ in range(walks_of(length))]
         self.factors = rng.integers(1 << 20, 1 << 62, SAMPLE).astype(np.uint64) | np.uint64(1)
 
     def likely(self, rows: np.ndarray, windows: np.ndarray) -> np.ndarray:
         """Whether enough words of a window are in the item, each as often as it stands there."""
-        have = self.bag[rows[:, None], windows]
+        key = rows[:, None] * np.int64(self.vocabulary) + windows
+        at = np.minimum(np.searchsorted(self.bag, key), len(self.bag) - 1)
+        have = np.where(self.bag[at] == key, self.count[at], 0)
         ok = np.flatnonzero((have > 0).sum(1) >= self.length - self.most[rows])
         windows, have = windows[ok], have[ok]
         nth = np.zeros(windows.shape, np.int16)
@@ -116,14 +126,44 @@ class Index:
         self.classes = [_Class(n, rows, size) for n, rows in sorted(by.items())]
         longest = max((c.length for c in self.classes), default=0)
         rng = np.random.default_rng(7)
-        self.coins = rng.integers(0, 1 << 63, (WALKS, size, 2 * longest // 64 + 1)).astype(np.uint64)
+        self.coins = rng.integers(0, 1 << 63, (walks_of(longest), size, 2 * longest // 64 + 1)).astype(np.uint64)
         self.pad = max(map(len, coded), default=0) + longest + 1
         self.coded = coded
         self.pieces = _pieces(coded)
+        self.most = np.array([int(EDITS * len(i)) for i in coded], np.int64)
+        self.lengths = np.array([len(i) for i in coded], np.int64)
+        # filter of (item, word): a slot that is not set says that the word is not in the item
+        self.filter = np.zeros(1 << max(10, int(SLOTS * self.lengths.sum()).bit_length()), bool)
+        if len(coded):
+            self.filter[self._slot(np.repeat(np.arange(len(coded)), self.lengths), np.concatenate(coded))] = True
         self.tables = []
         for c in self.classes:
             cores = np.stack([i[: c.length] for _, i in c.items])
-            self.tables.append([[_sorted(k) for k in c.keys(cores, w, self.coins[w])] for w in range(WALKS)])
+            self.tables.append([[_sorted(k) for k in c.keys(cores, w, self.coins[w])] for w in range(len(c.samples))])
+
+    def _slot(self, place: np.ndarray, word: np.ndarray) -> np.ndarray:
+        key = place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.astype(np.uint64)
+        key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return ((key ^ (key >> np.uint64(29))) & np.uint64(len(self.filter) - 1)).astype(np.int64)
+
+    def _enough(self, stream: np.ndarray, place: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether so many words of a region may be in the item that it can be a copy; an upper bound."""
+        out = np.zeros(len(place), bool)
+        size = np.maximum(end - begin, 0)
+        upto = np.cumsum(size)
+        lo = 0
+        while lo < len(place):
+            # about a million words at once, one region at least
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (1 << 20), "right")))
+            n = size[lo:hi]
+            starts = np.cumsum(n) - n
+            word = stream[np.arange(n.sum()) - np.repeat(starts - begin[lo:hi], n)]
+            inside = (word > 0) & self.filter[self._slot(np.repeat(place[lo:hi], n), word)]
+            sums = np.concatenate([[0], np.cumsum(inside)])
+            p = place[lo:hi]
+            out[lo:hi] = sums[starts + n] - sums[starts] >= self.lengths[p] - self.most[p]
+            lo = hi
+        return out
 
     def search(self, texts: list[list[bytes]]) -> list[list[tuple[int, int, int]]]:
         """(item place, first word of the window, edits) of the items in each text."""
@@ -159,7 +199,7 @@ class Index:
         if not len(at):
             return
         pairs = []
-        for walk in range(WALKS):
+        for walk in range(len(c.samples)):
             for (keys, order), key in zip(tables[walk], c.keys(content, walk, self.coins[walk])):
                 lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
                 hit = np.flatnonzero(hi > lo)
@@ -197,12 +237,18 @@ class Index:
         begin = at - offset[entry]
         order = np.lexsort((begin, place, doc))
         place, doc, begin = place[order], doc[order], begin[order]
-        most = (EDITS * np.array([len(i) for i in self.coded])).astype(np.int64)
+        most = self.most
         # begins near each other are one region
         new = np.ones(len(begin), bool)
         new[1:] = (np.diff(doc) != 0) | (np.diff(place) != 0) | (np.diff(begin) > most[place[1:]])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(begin))[: len(first)] - 1
+        # a piece that many items share meets this bound as whole arrays, before anything per candidate
+        p, d = place[first], doc[first]
+        region = np.maximum(starts[d], begin[first] - most[p])
+        until = np.minimum(starts[d] + sizes[d], begin[last] + self.lengths[p] + most[p])
+        ok = self._enough(stream, p, region, until)
+        first, last = first[ok], last[ok]
         for d, p, b, e in zip(doc[first].tolist(), place[first].tolist(), begin[first].tolist(), begin[last].tolist()):
             best = found[d].get(p)
             if best and best[0] == 0:
