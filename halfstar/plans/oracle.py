@@ -383,19 +383,28 @@ def neighbour_queries(k: int = 350) -> dict[str, str]:
     devs as (select a.movieId as i, b.movieId as j, count(*) as cnt, avg(a.c - b.c) as dev
              from c a join c b on a.userId = b.userId and a.movieId <> b.movieId group by 1, 2)"""
 
-    def nearest(column: str, row: str) -> str:
-        return with_(centred, f"""
-            select i, j, sim from (
-              select *, row_number() over (partition by i order by sim desc, j) as rk from (
+    def pairs_of(column: str, row: str) -> str:
+        return f"""
                 select a.{column} as i, b.{column} as j, round(sum(a.c * b.c) / (min(la.len) * min(lb.len)), 9) as sim
                 from c a join c b on a.{row} = b.{row} and a.{column} <> b.{column}
                 join (select {column} as id, sqrt(sum(c * c)) as len from c group by 1) la on la.id = a.{column} and la.len > 0
                 join (select {column} as id, sqrt(sum(c * c)) as len from c group by 1) lb on lb.id = b.{column} and lb.len > 0
-                group by 1, 2) where sim > 0) where rk <= {k}""")
+                group by 1, 2"""
+
+    def nearest(column: str, row: str, k: int = k) -> str:
+        return with_(centred, f"""
+            select i, j, sim from (
+              select *, row_number() over (partition by i order by sim desc, j) as rk from ({pairs_of(column, row)}) where sim > 0) where rk <= {k}""")
+
+    def similar(column: str, row: str, least: float = 0.3) -> str:
+        return with_(centred, f"select i, j, sim from ({pairs_of(column, row)}) where i < j and sim >= {least}")
 
     return {
         "item_neighbours": nearest("movieId", "userId"),
         "user_neighbours": nearest("userId", "movieId"),
+        "similar_movies": similar("movieId", "userId"),
+        "similar_users": similar("userId", "movieId"),
+        "similar_nearest_users": nearest("userId", "movieId", 10),
         "center_ratings": with_(FACT, """
             select userId, movieId, rating, round(avg(rating) over (partition by userId), 6) as mean,
                    round(rating - avg(rating) over (partition by userId), 6) as centred from train"""),

@@ -30,6 +30,7 @@ from halfstar.operators import serving
 from halfstar.operators import split as Z
 from halfstar.operators.evaluate import SKIP, comparison, result_record, timed
 from halfstar.operators.ids import dense_ids, dense_table, support_features, with_dense
+from halfstar.operators.inverted import CosineIndex
 from halfstar.operators.joins import KeyedTable, anti_join_all, natural_inner_join, semi_join
 from halfstar.plans.prepare import Prepared, build, enrich, prepare
 from halfstar.session import materialise, scratch_path
@@ -41,6 +42,8 @@ SIX = ["userId", "movieId", "rating", "timestamp", "title", "genres"]
 # Support thresholds that suit the test tables.
 GENRE_MIN, YEAR_MIN, HISTOGRAM_BELOW, GENRE_MORE_THAN = 100, 500, 40, 100
 SVD_VALUES, NEIGHBOURS = 100, 350
+#: Least cosine of the similar pairs, and neighbours per user of the bounded search.
+SIMILAR, NEAREST = 0.3, 10
 MF_RANKS, MF_REGS, CURVE_ITERATIONS = [10, 20, 30], [0.1, 0.2], list(range(1, 31))
 CORNER = 40
 SERVED_BLOCK = 1024
@@ -462,6 +465,26 @@ def user_neighbours(spark, sf_dir):
     return N.user_similarity(N.center(train.select("userId", "movieId", "rating")), NEIGHBOURS).select("i", "j", "sim")
 
 
+def cosine_index(spark, sf_dir, row: str, column: str) -> CosineIndex:
+    train = prepare(spark, sf_dir).train.select("userId", "movieId", "rating")
+    return CosineIndex.build(N.center(train).select("userId", "movieId", "centred"), row, column, "centred")
+
+
+def similar_movies(spark, sf_dir):
+    """Pairs of movies whose centred ratings have a cosine of SIMILAR or more."""
+    return cosine_index(spark, sf_dir, "userId", "movieId").similar(SIMILAR)
+
+
+def similar_users(spark, sf_dir):
+    """Pairs of users whose centred ratings have a cosine of SIMILAR or more."""
+    return cosine_index(spark, sf_dir, "movieId", "userId").similar(SIMILAR)
+
+
+def similar_nearest_users(spark, sf_dir):
+    """The NEAREST most similar users of every user, from lists of ratings with bounds."""
+    return cosine_index(spark, sf_dir, "movieId", "userId").nearest(NEAREST)
+
+
 # --- neighbours and rules ------------------------------------------------------------
 
 
@@ -965,6 +988,9 @@ def queries() -> dict[str, Query]:
         "svd_invariant": svd_invariant,
         "item_neighbours": item_neighbours,
         "user_neighbours": user_neighbours,
+        "similar_movies": similar_movies,
+        "similar_users": similar_users,
+        "similar_nearest_users": similar_nearest_users,
         "center_ratings": on_train(
             lambda t: rounded(N.center(t.select("userId", "movieId", "rating")), "mean", "centred")
         ),
