@@ -46,7 +46,7 @@ def _matrix(rows, width: int) -> np.ndarray:
     return out
 
 
-def _lift(v: np.ndarray, most: int) -> np.ndarray:
+def _lift(v: np.ndarray, most: float) -> np.ndarray:
     v = v.astype(float)
     return np.hstack([v, np.sqrt(np.maximum(0.0, most - (v * v).sum(1)))[:, None]])
 
@@ -55,10 +55,30 @@ def _distances(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - centre) ** 2).sum(-1))
 
 
+def _limit(norm, most: float, score, width: int):
+    """Distance beyond which no score of ``score`` or more lies, with room for rounding.
+
+    Squares below 2^53 are whole numbers a double holds; beyond, their errors
+    grow with them. A score of the least long stands for any below it.
+    """
+    total = norm + most
+    room = np.where(total < 2**53, 0.0, 8 * np.sqrt((width + 4) * np.finfo(float).eps * total))
+    reached = np.where(np.asarray(score, float) > -(2.0**63), score, -np.inf)
+    return np.sqrt(np.maximum(0.0, total - 2 * reached)) * (1 + 1e-9) + SLACK + room
+
+
+def _scores(v: np.ndarray, q: np.ndarray, exact: bool) -> list[int]:
+    """Integer inner products, by Python's numbers where a long may not hold them."""
+    if exact:
+        return (v @ q).tolist()
+    least, most = -(1 << 63), (1 << 63) - 1
+    return [min(most, max(least, s)) for s in (v.astype(object) @ q.astype(object)).tolist()]
+
+
 # --- building -------------------------------------------------------------------------
 
 
-def build_pages(ids: np.ndarray, v: np.ndarray, most: int) -> list[dict]:
+def build_pages(ids: np.ndarray, v: np.ndarray, most: float) -> list[dict]:
     """The pages of one tree, root first.
 
     A page holds entries with their distance to the page's centre: vectors in a
@@ -118,23 +138,25 @@ class Tree:
                 np.asarray(p.v, np.int64).reshape(-1, width) if p.leaf else None,
                 np.asarray(p.to_centre, float), list(p.children), np.asarray(p.radii, float),
             )
-        self.computed = 0
+        self.largest = max((float(np.abs(p[4].astype(float)).max(initial=0.0)) for p in self.pages.values() if p[0]), default=0.0)
+        self.width, self.computed = width, 0
 
-    def search(self, query: int, q: np.ndarray, most: int, k: int, floor: float) -> list[tuple[int, int]]:
+    def search(self, query: int, q: np.ndarray, most: float, k: int, floor: float) -> list[tuple[int, int]]:
         """The k best (score, id) but the query's own row; scores below ``floor`` may be left out.
 
         Pages are opened by their least possible distance. A child or entry is
         passed over without a computation where the difference of the stored
         distance to the centre and the query's shows it to be too far.
         """
-        norm = float(q @ q)
         point = np.append(q.astype(float), 0.0)
+        norm = float(point @ point)
+        exact = float(np.abs(point).max()) * self.largest * self.width < 2.0**62
         best: list[tuple[int, int]] = []  # (score, -id), the worst first
 
         def reach() -> float:
             """Distance beyond which nothing can enter the result."""
             score = max(floor, best[0][0]) if len(best) == k else floor
-            return np.sqrt(max(0.0, norm + most - 2 * score)) * (1 + 1e-9) + SLACK if score > -np.inf else np.inf
+            return float(_limit(norm, most, score, self.width))
 
         root = _distances(point[None], self.pages[0][1])[0]
         queue = [(max(0.0, root - self.pages[0][2]), 0, root)]
@@ -147,7 +169,7 @@ class Tree:
             if leaf:
                 near = np.flatnonzero((np.abs(own - to_centre) <= limit) & (ids != query))
                 self.computed += len(near)
-                for score, i in zip((v[near] @ q).tolist(), ids[near].tolist()):
+                for score, i in zip(_scores(v[near], q, exact), ids[near].tolist()):
                     if len(best) < k:
                         heapq.heappush(best, (score, -i))
                     elif (score, -i) > best[0]:
@@ -171,9 +193,9 @@ class TopK:
 
     def __init__(self, vectors: DataFrame, column: str = "embedding", regions: int = REGIONS, tree_rows: int = TREE_ROWS):
         rows = materialise(quantised(vectors, column), "mtree-vectors")
-        norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, c: a + c * c)
+        norm = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
         bounds = rows.agg(F.max(norm).alias("most"), F.max(F.size("v")).alias("width")).first()
-        self.rows, self.most, self.width = rows, bounds["most"] or 0, bounds["width"] or 0
+        self.rows, self.most, self.width = rows, bounds["most"] or 0.0, bounds["width"] or 0
         sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(regions).collect()
         self.centres = _lift(_matrix([r["v"] for r in sample], self.width), self.most)
         most, width, centres = self.most, self.width, self.centres
@@ -253,7 +275,7 @@ class TopK:
                     continue
                 least = np.maximum(0.0, away - np.array([radius[r] for r in radius]))
                 norm = (q.astype(float) ** 2).sum(1)
-                limit = np.sqrt(np.maximum(0.0, norm + most - 2 * batch["floor"].to_numpy(float))) * (1 + 1e-9) + SLACK
+                limit = _limit(norm, most, batch["floor"].to_numpy(float), width)
                 visit = ~(least > limit[:, None])
                 visit[np.arange(len(q)), nearest] = False
                 row, column = np.nonzero(visit)
@@ -284,7 +306,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, column: str = "embedding", k:
     """Search the rows of ``vectors`` that ``is_query`` marks against all rows.
 
     Vectors are scaled by 1024 and rounded down. Vectors of unequal length are
-    compared as if the shorter went on with zeros. Null vectors, such with a
+    compared as if the shorter went on with zeros. Components and scores beyond
+    a long count as the largest or least long. Null vectors, such with a
     null or non-finite component, and rows without an id take no part. Of
     repeated query ids one row asks; as candidates repeated rows count each.
     Empty tables give none; other columns are not read.

@@ -15,19 +15,23 @@ from halfstar.llm import warc as W
 # --- top-k ---
 
 
+def as_long(n):
+    return min((1 << 63) - 1, max(-(1 << 63), n))
+
+
 def slow_top(rows, k=10):
     whole = {}
     data = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        data.append((i, [int(np.floor(1024 * float(x))) for x in v]))
+        data.append((i, [as_long(int(np.floor(1024 * float(x)))) for x in v]))
     out = set()
     for i, q in data:
         if i % 100 == 0 and i not in whole:
             whole[i] = min(v for j, v in data if j == i)
             q = whole[i]
-            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in data if j != i)[:k]
+            scored = sorted((-as_long(sum(a * b for a, b in zip(q, v))), j) for j, v in data if j != i)[:k]
             out |= {(i, n + 1, j, -s) for n, (s, j) in enumerate(scored)}
     return out
 
@@ -47,6 +51,17 @@ def test_top_k_against_brute_force(spark, options):
     assert {tuple(r) for r in got.collect()} == slow_top(rows)
 
 
+@pytest.mark.parametrize("sizes", [(1e7, 1e4), (1e14, 1e12, 1e3), (1e300, 1e15, 1.0)])
+def test_top_k_of_large_components(spark, sizes):
+    """Norms beyond a long, scores near its end and beyond it, beside small vectors."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) * sizes[i % 7 % len(sizes)] for x in rng.normal(size=6)]) for i in range(700)]
+    rows += [(700 + i, rows[3][1]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = V.top_k(df, F.expr("vec_id % 100 = 0"), regions=5, tree_rows=90)
+    assert {tuple(r) for r in got.collect()} == slow_top(rows)
+
+
 def test_top_k_of_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, 0.5]), (100, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert {tuple(r) for r in V.top_k(few, F.expr("vec_id % 100 = 0")).collect()} == slow_top([tuple(r) for r in few.collect()])
