@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
@@ -55,16 +55,17 @@ def _distances(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - centre) ** 2).sum(-1))
 
 
-def _limit(norm, most: float, score, width: int):
-    """Distance beyond which no score of ``score`` or more lies, with room for rounding.
+#: The score of the least long stands for any below it and bounds nothing.
+_LEAST = -(2.0**63)
+
+
+def _room(total, width: int):
+    """Room for rounding in a limit of distance, ``total`` the squared norms in it.
 
     Squares below 2^53 are whole numbers a double holds; beyond, their errors
-    grow with them. A score of the least long stands for any below it.
+    grow with them.
     """
-    total = norm + most
-    room = np.where(total < 2**53, 0.0, 8 * np.sqrt((width + 4) * np.finfo(float).eps * total))
-    reached = np.where(np.asarray(score, float) > -(2.0**63), score, -np.inf)
-    return np.sqrt(np.maximum(0.0, total - 2 * reached)) * (1 + 1e-9) + SLACK + room
+    return SLACK + np.where(total < 2**53, 0.0, 8 * np.sqrt((width + 4) * np.finfo(float).eps * total))
 
 
 def _scores(v: np.ndarray, q: np.ndarray, exact: bool) -> list[int]:
@@ -150,13 +151,14 @@ class Tree:
         """
         point = np.append(q.astype(float), 0.0)
         norm = float(point @ point)
+        room = float(_room(norm + most, self.width))
         exact = float(np.abs(point).max()) * self.largest * self.width < 2.0**62
         best: list[tuple[int, int]] = []  # (score, -id), the worst first
 
         def reach() -> float:
             """Distance beyond which nothing can enter the result."""
             score = max(floor, best[0][0]) if len(best) == k else floor
-            return float(_limit(norm, most, score, self.width))
+            return sqrt(max(0.0, norm + most - 2 * score)) * (1 + 1e-9) + room if score > _LEAST else np.inf
 
         root = _distances(point[None], self.pages[0][1])[0]
         queue = [(max(0.0, root - self.pages[0][2]), 0, root)]
@@ -275,7 +277,9 @@ class TopK:
                     continue
                 least = np.maximum(0.0, away - np.array([radius[r] for r in radius]))
                 norm = (q.astype(float) ** 2).sum(1)
-                limit = _limit(norm, most, batch["floor"].to_numpy(float), width)
+                floor = batch["floor"].to_numpy(float)
+                reach = np.sqrt(np.maximum(0.0, norm + most - 2 * np.where(floor > _LEAST, floor, -np.inf)))
+                limit = reach * (1 + 1e-9) + _room(norm + most, width)
                 visit = ~(least > limit[:, None])
                 visit[np.arange(len(q)), nearest] = False
                 row, column = np.nonzero(visit)
