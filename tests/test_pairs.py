@@ -171,3 +171,34 @@ def test_top_pairs_survive_cutting_into_segments(spark, monkeypatch):
         both = [(i, j, s) for i, j, s in pairs] + [(j, i, s) for i, j, s in pairs]
         best[limit] = {i: max((round(s, 6), -j) for k, j, s in both if k == i) for i in range(100, 140)}
     assert best[50] == best[B.SEGMENT_ENTRIES] and len(set(map(str, best.values()))) == 1
+
+
+@pytest.mark.parametrize("short", [0, 6, 512])
+def test_short_and_long_rows_add_up(spark, monkeypatch, short):
+    monkeypatch.setattr(B, "SHORT_ROW", short)
+    monkeypatch.setattr(B, "RANGE_PAIRS", 20)
+    cells = [(r, 10 * c, c, float(1 + (r * c) % 5)) for r in range(1, 30) for c in range(1, 41) if (r * 7 + c * c) % (2 + r) < 3]
+    entries = spark.createDataFrame(cells, "row int, id int, idx int, x double")
+    got = {(r["i"], r["j"]): (r["n"], r["xy"]) for r in B.pair_sums(entries, 40, ["n", "xy"], 16).collect()}
+    other = {(r["i"], r["j"]): r["xy"] for r in B.cross_sums(
+        entries.where("id <= 200"), 20, entries.where("id > 200").withColumn("idx", F.col("idx") - 20), 20, ["xy"], 8).collect()}
+    pairs = {}
+    for a, b in itertools.product(cells, cells):
+        if a[0] == b[0] and a[1] < b[1]:
+            n, xy = pairs.get((a[1], b[1]), (0, 0.0))
+            pairs[a[1], b[1]] = (n + 1, xy + a[3] * b[3])
+    assert got.keys() == pairs.keys() and all(got[k] == pytest.approx(v) for k, v in pairs.items())
+    crossed = {k: v[1] for k, v in pairs.items() if k[0] <= 200 < k[1]}
+    assert other.keys() == crossed.keys() and all(other[k] == pytest.approx(v) for k, v in crossed.items())
+
+
+def test_rows_go_only_where_their_columns_are(spark, monkeypatch):
+    """Entries sent to block groups grow with the rows, not with the number of blocks."""
+    sent = []
+    real = B._sent
+    monkeypatch.setattr(B, "_sent", lambda bounds, square: sent.append(bounds) or real(bounds, square))
+    monkeypatch.setattr(B, "_each_block", lambda blocks: pytest.fail("a row was sent to every block"))
+    cells = [(r, c, c, 1.0) for r in range(50) for c in range(8 * r + 1, 8 * r + 9)]
+    entries = spark.createDataFrame(cells, "row int, id int, idx int, x double")
+    assert B.pair_sums(entries, 400, ["n"], 8).count() == 50 * 28
+    assert len(sent) == 1
