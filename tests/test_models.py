@@ -171,3 +171,12 @@ def test_cf_scores_every_hidden_row(skewed):
     for scored in (N.popular(split), N.user_based(split, 5), N.item_based(split, 5)):
         assert rows(scored, "userId", "movieId") == hidden
         assert scored.where("pred is null").count() == 0
+
+
+def test_fits_at_once_share_the_blocks():
+    """Vectors go to every block, so a fit among several takes only its share of the cores."""
+    assert A.block_count(40_000_000, 12) == 12
+    assert A.block_count(12_000_000, 12, at_once=4) == 3
+    assert A.block_count(12_000_000, 12, at_once=6) == 3
+    assert A.block_count(10, 12) == 2
+    assert A.block_count(100_000_000, 12, at_once=4) == 20
