@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Callable
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -11,16 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halfstar.llm.common import utf8
-from halfstar.session import materialise
+from halfstar.session import discard, materialise
 
 FEATURES = (
     "log_words word_length upper digit symbol stop_mark bang bar distinct_words distinct_pairs "
     "top_word repeated_next symbol_words caps_words line_length short_lines distinct_lines non_ascii"
 ).split()
-#: Labelled rows the fit looks at: those whose doc_id has the smallest hashes.
-FIT_ROWS = 20_000
-#: Preference pairs per labelled row, and the weight of the squared penalty.
-PAIRS, RIDGE = 8, 1e-3
+#: Rows of the rarer label that meet the other label in one group, about, and rows of a group at most, about.
+GROUP, LARGE_GROUP = 32, 4096
+#: Weight of the squared penalty.
+RIDGE = 1e-3
 #: The decision point of a score.
 CUT = 0.7
 
@@ -83,33 +85,51 @@ def feature_table(docs: DataFrame, *keep: str) -> DataFrame:
     return source.mapInArrow(run, f"{schema}, x array<double>")
 
 
-def fit(x: np.ndarray, y: np.ndarray, seed: int = 42) -> tuple[np.ndarray, float]:
-    """Weights of a score and its threshold.
+def pair_sums(z: np.ndarray, good: int, w: np.ndarray) -> np.ndarray:
+    """Number, gradient and curvature of the logistic loss over the pairs of a group.
 
-    Each pair is a row of label 1 and one of label 0; the loss is the logistic
-    loss of the difference of their scores. The threshold is the quantile of
-    the scores below which the share of label 0 lies, midway to the next score.
+    The first ``good`` rows have label 1; every one of them is preferred to every other row.
     """
-    mean, scale = x.mean(0), x.std(0)
-    scale[scale < 1e-9] = 1.0
-    z = np.clip((x - mean) / scale, -8, 8)
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    rng = np.random.default_rng(seed)
-    n = PAIRS * len(y)
-    diff = z[rng.choice(good, n)] - z[rng.choice(bad, n)]
-    w = np.zeros(x.shape[1])
-    for _ in range(30):  # Newton steps on a convex loss
+    d = z.shape[1]
+    total = np.zeros(1 + d + d * d)
+    step = max(1, 65_536 // max(good, 1))
+    for at in range(good, len(z), step):
+        diff = (z[:good, None] - z[None, at : at + step]).reshape(-1, d)
         p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        gradient = RIDGE * w - diff.T @ p / n
+        total[0] += len(diff)
+        total[1 : 1 + d] += diff.T @ p
+        total[1 + d :] += ((diff * (p * (1 - p))[:, None]).T @ diff).ravel()
+    return total
+
+
+def newton(sums: Callable[[np.ndarray], np.ndarray], d: int) -> np.ndarray:
+    """Weights of the least penalised loss; ``sums(w)`` adds ``pair_sums`` over all groups."""
+    w = np.zeros(d)
+    for _ in range(30):  # Newton steps on a convex loss
+        total = sums(w)
+        n = max(total[0], 1.0)
+        gradient = RIDGE * w - total[1 : 1 + d] / n
         if np.abs(gradient).max() < 1e-7:
             break
-        curve = (diff * (p * (1 - p))[:, None]).T @ diff / n + RIDGE * np.eye(len(w))
-        w -= np.linalg.solve(curve, gradient)
+        w -= np.linalg.solve(total[1 + d :].reshape(d, d) / n + RIDGE * np.eye(d), gradient)
+    return w
+
+
+def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """``fit_model`` for rows in memory, all of them in one group."""
+    mean, scale = x.mean(0), x.std(0)
+    scale[scale < 1e-9] = 1.0
+    z = np.clip((x - mean) / scale, -8, 8)
+    order = np.argsort(-y, kind="stable")
+    good = int((y == 1).sum())
+    w = newton(lambda w: pair_sums(z[order], good, w), x.shape[1])
     score = np.sort(z @ w)
-    k = min(max(len(bad), 1), len(score) - 1)
-    cut = (score[k - 1] + score[k]) / 2
-    spread = score[k:].mean() - score[:k].mean() or 1.0
-    gain = 8 / spread  # the two sides lie about four units off the cut
+    k = min(max(len(y) - good, 1), len(score) - 1)
+    return _scaled(mean, scale, w, (score[k - 1] + score[k]) / 2, score[k:].mean() - score[:k].mean())
+
+
+def _scaled(mean: np.ndarray, scale: np.ndarray, w: np.ndarray, cut: float, spread: float) -> tuple[np.ndarray, float]:
+    gain = 8 / (spread or 1.0)  # the two sides lie about four units off the cut
     return np.stack([mean, scale, w * gain]), float(cut * gain)
 
 
@@ -123,38 +143,110 @@ class QualityModel:
         """Score in 0..1 out of the feature array; the threshold lies at 0.7."""
         if self.weights is None:
             return F.lit(CUT)
-        mean, scale, w = self.weights
-        total = sum(
-            (
-                F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (x[i] - float(mean[i])) / float(scale[i]))) * float(w[i])
-                for i in range(len(w))
-            ),
-            F.lit(0.0),
-        )
+        total = weighted(x, *self.weights)
         at_cut = math.log(CUT / (1 - CUT))
         return 1 / (1 + F.exp(-(total - self.cut + at_cut)))
 
 
-def fit_model(table: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> QualityModel:
-    """Fit on at most ``fit_rows`` rows of ``table(doc_id, x)`` that ``labels(doc_id, quality)`` marks.
+def weighted(x: Column, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> Column:
+    return sum(
+        (
+            F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (x[i] - float(mean[i])) / float(scale[i]))) * float(w[i])
+            for i in range(len(w))
+        ),
+        F.lit(0.0),
+    )
+
+
+def ranked(values: DataFrame, place: int) -> float:
+    """The value at ``place`` (from 0) of the sorted column ``s``, by counts in ever smaller bins."""
+    while True:
+        found = values.agg(F.count("s").alias("n"), F.min("s").alias("low"), F.max("s").alias("high")).first()
+        if found["n"] <= 2 * BINS or found["low"] == found["high"]:
+            break
+        width = found["high"] - found["low"]
+        bin_of = F.least(F.floor((F.col("s") - found["low"]) / width * BINS), F.lit(BINS - 1))
+        for number, n in values.groupBy(bin_of.alias("b")).agg(F.count("*").alias("n")).orderBy("b").collect():
+            if place < n:
+                break
+            place -= n
+        values = values.where(bin_of == number)
+    if found["low"] == found["high"]:
+        return found["low"]
+    return values.orderBy("s").collect()[place]["s"]
+
 
-    Only labels 0 and 1 count; an id marked both ways counts as 0. The rows
-    taken are those whose id has the smallest hashes, whatever the partitioning.
+#: Bins of one round of ``ranked``.
+BINS = 1024
+
+
+def grouped(marked: DataFrame, counts: dict[int, int], mean: np.ndarray, scale: np.ndarray) -> DataFrame:
+    """Written groups ``(good, z)`` of scaled rows, those of label 1 first.
+
+    A row lies in the group of its id's hash. Where one label is rare, each of
+    its rows lies in as many groups as it takes for every group to hold some.
     """
+    rare = min(counts, key=counts.get)
+    groups = max(1, ceil(counts[rare] / GROUP), ceil(counts[1 - rare] / LARGE_GROUP))
+    copies = min(groups, ceil(GROUP * groups / counts[rare] / 2))
+    copy = F.when(F.col("__y") == rare, F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
+    dealt = marked.select("doc_id", "__y", "x", F.explode(copy).alias("__c")).select(
+        F.pmod(F.xxhash64("doc_id") + F.col("__c"), F.lit(groups)).alias("g"), "doc_id", F.col("__y").alias("y"), "x"
+    )
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("y", "descending"), ("doc_id", "ascending")])
+        x = np.array(table.column("x").to_pylist(), float)
+        z = np.clip((x - mean) / scale, -8, 8)
+        good = int(np.count_nonzero(table.column("y").to_numpy() == 1))
+        return pa.table({"good": pa.array([good], pa.int32()), "z": pa.array([z.tobytes()], pa.binary())})
+
+    return materialise(dealt.groupBy("g").applyInArrow(pack, "good int, z binary"), "quality-groups")
+
+
+def fit_model(table: DataFrame, labels: DataFrame) -> QualityModel:
+    """Fit on all rows of ``table(doc_id, x)`` that ``labels(doc_id, quality)`` marks.
+
+    Only labels 0 and 1 count; an id marked both ways counts as 0. A pair is a
+    row of label 1 and one of label 0 of the same group, the loss the logistic
+    loss of the difference of their scores; every row takes part in all pairs
+    of its group. The threshold is the quantile of all scores below which the
+    share of label 0 lies, midway to the next score.
+    """
+    d = len(FEATURES)
     marks = (
         labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("__y"))
     )
     marked = materialise(table.join(marks, "doc_id"), "quality-labelled")
-    # Of many rows, a first cut by the hash leaves about 1.3 times as many as are wanted.
-    grain = 1 << 40
-    cut = min(grain, max(1, int(1.3 * fit_rows / max(marked.count(), 1) * grain)))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(grain))
-    taken = marked.filter(place < cut).orderBy(place, "doc_id", "x").limit(fit_rows)
-    rows = taken.select("x", "__y").collect()
-    y = np.array([r["__y"] for r in rows])
-    if len(set(y.tolist())) < 2:
+    counts = {r["__y"]: r["n"] for r in marked.groupBy("__y").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 2:
         return QualityModel(None, 0.0)
-    weights, cut = fit(np.array([r["x"] for r in rows]), y)
+    moments = marked.agg(*[f(F.col("x")[i]) for f in (F.avg, F.stddev_pop) for i in range(d)]).first()
+    mean, scale = np.round(np.array(moments, float).reshape(2, d), 12)
+    scale[scale < 1e-9] = 1.0
+    groups = grouped(marked, counts, mean, scale)
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def run(batches):
+            total = np.zeros(1 + d + d * d)
+            for batch in batches:
+                for good, z in zip(batch.column("good").to_pylist(), batch.column("z").to_pylist()):
+                    total += pair_sums(np.frombuffer(z, np.float64).reshape(-1, d), good, w)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["at", "v"])
+
+        added = groups.mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v"))
+        return np.array([r["v"] for r in added.orderBy("at").collect()])
+
+    w = np.round(newton(sums, d), 9)  # the order of the sums leaves the last digits open
+    scores = materialise(marked.select(weighted(F.col("x"), mean, scale, w).alias("s")), "quality-scores")
+    n = sum(counts.values())
+    k = min(max(counts[0], 1), n - 1)
+    below, above = ranked(scores, k - 1), ranked(scores, k)
+    under = F.col("s") < below
+    s = scores.agg(F.sum("s").alias("all"), F.count_if(under).alias("n"), F.coalesce(F.sum(F.when(under, F.col("s"))), F.lit(0.0)).alias("low")).first()
+    low = s["low"] + (k - s["n"]) * below
+    weights, cut = _scaled(mean, scale, w, (below + above) / 2, round((s["all"] - low) / (n - k) - low / k, 9))
+    discard(marked, groups, scores)
     return QualityModel(weights, cut)
 
 

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from helpers import AWKWARD, docs_of
@@ -414,3 +415,29 @@ def test_names_of_licences_in_prose_and_spdx_lines(text, licence, rule):
 
 def test_mit_alone_is_no_licence():
     assert N.matches("MIT.\nShe studied at MIT. The license of her car was renewed.") == []
+
+
+def test_quality_fit_reads_every_labelled_row(spark, monkeypatch):
+    """Rows of ids beyond any sample count; groups of any size give the weights of all rows at hand."""
+    rng = np.random.default_rng(5)
+    y = (rng.random(21_000) < 0.3).astype(int)
+    x = rng.normal(size=(len(y), len(Q.FEATURES)))
+    x[:, 2] += y * 1.5
+    table = spark.createDataFrame(pd.DataFrame({"doc_id": np.arange(len(y)), "x": list(x)}), "doc_id long, x array<double>")
+    labels = spark.createDataFrame(pd.DataFrame({"doc_id": np.arange(len(y)), "quality": y}), "doc_id long, quality int")
+    seen = []
+    real = Q.grouped
+    monkeypatch.setattr(Q, "grouped", lambda marked, *rest: seen.append(marked.count()) or real(marked, *rest))
+    model = Q.fit_model(table, labels)
+    assert seen == [len(y)]
+    score = np.clip((x - x.mean(0)) / x.std(0), -8, 8) @ model.weights[2]
+    assert np.allclose(model.weights[:2], [x.mean(0), x.std(0)])
+    assert (score < model.cut).sum() == (y == 0).sum()  # the quantile of all rows, not of some
+    assert model.weights[2].argmax() == 2
+
+
+def test_rank_by_counts(spark, monkeypatch):
+    monkeypatch.setattr(Q, "BINS", 4)
+    values = [0.5, 3.0, 3.0, 3.0, -1e9, 7.25, 1e9, *[2 + i / 1000 for i in range(60)]]
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    assert [Q.ranked(df, k) for k in (0, 1, 30, 63, 66)] == [sorted(values)[k] for k in (0, 1, 30, 63, 66)]
