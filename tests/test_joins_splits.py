@@ -157,3 +157,9 @@ def test_discarded_tables_are_gone(spark):
     assert spark.conf.get(CLEANUP_CONF) == "false" and written.count() == 7
     discard(written, spark.range(3))
     assert not os.path.exists(written.scratch_path)
+
+
+def test_packed_tables_have_no_more_partitions_than_the_cores_use():
+    from halfstar.session import tasks_for
+
+    assert [tasks_for(n, 12) for n in (0, 50_000, 2_000_000, 20_000_000, 120_000_000)] == [1, 3, 24, 24, 120]
