@@ -163,3 +163,15 @@ def test_packed_tables_have_no_more_partitions_than_the_cores_use():
     from halfstar.session import tasks_for
 
     assert [tasks_for(n, 12) for n in (0, 50_000, 2_000_000, 20_000_000, 120_000_000)] == [1, 3, 24, 24, 120]
+
+
+def test_splits_shuffle_no_titles(spark, monkeypatch):
+    from halfstar.plans import queries as Q
+
+    seen = []
+    for name in ("consistent_holdout", "removed_rows", "final_train"):
+        real = getattr(Q.Z, name)
+        monkeypatch.setattr(Q.Z, name, lambda a, b, real=real: seen.append(set(a.columns) | set(b.columns)) or real(a, b))
+    for query in (Q.holdout_consistent, Q.holdout_removed, Q.train_final, Q.rekeyed_removed, Q.rekeyed_anti_join):
+        assert query(spark, "/root/testdata/sf0.001").columns == Q.SIX
+    assert len(seen) >= 5 and all(c == {"userId", "movieId", "rating", "timestamp"} for c in seen)
