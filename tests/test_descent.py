@@ -138,3 +138,34 @@ def test_grid_trains_all_models_in_the_same_jobs(spark):
 def test_empty_input(spark):
     done = D.fit(spark.createDataFrame([], SCHEMA), D.Params(rank=2), epochs=2)
     assert done.curve == [] and done.score(spark.createDataFrame([(1, 1, 3.0)], SCHEMA)).first().pred is None
+
+
+def test_cells_have_tasks_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    done = D.prepare(spark.createDataFrame(planted(60, 40), SCHEMA), [D.Params(rank=2)], rows_per_cell=15)
+    assert done.blocks >= 8
+    after = D._round(done.state, done.cells, 0, done.models, done.mean, done.blocks, done.groups, {}, True)
+    places = after.where("kind = 'u'").select("block", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in places}) == len({r.block for r in places}) == done.blocks
+
+
+def test_several_epochs_in_one_job_equal_single_ones(spark):
+    data = spark.createDataFrame(planted(30, 20), SCHEMA)
+    models = [D.Params(rank=2, fold=f, rate=r) for r in (0.1, 0.2) for f in (0, 1)]
+    one, many = (D.prepare(data, models, folds=2, rows_per_cell=70) for _ in range(2))
+    for _ in range(6):
+        one.epoch()
+    written = []
+    materialise = D.materialise
+    D.materialise = lambda df, label: written.append(label) or materialise(df, label)
+    try:
+        many.run(6)
+    finally:
+        D.materialise = materialise
+    assert many.blocks == 2 and len(written) < 6
+    assert [c[:2] for c in many.curve] == [c[:2] for c in one.curve]
+    for a, b in zip(many.curve, one.curve):
+        assert a[2:] == pytest.approx(b[2:], rel=1e-12)
+    for a, b in zip(many.held_out(), one.held_out()):
+        assert a == pytest.approx(b, rel=1e-12)
