@@ -13,6 +13,11 @@ coordinates of disjoint blocks add up, hence:
 * inside a bucket a pair is discarded as soon as a table coordinate (distance
   to one reference) differs by more than r, and survivors are verified by
   their exact Hamming distance.
+
+A wide fingerprint has references of its own per 64-bit word. Bands of coordinates
+of one-bit blocks are its bucket keys; there no single reference tells rows apart at
+so large a radius, so a pair is discarded once the differences of all coordinates of
+two-bit blocks add up to more than r.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from halfstar.session import materialise
 #: Fixed value: seed of the shingle hash and of the base reference.
 SEED = 42
 BLOCK_BITS = 2
+#: Wide fingerprints whose distance table is held at once.
+TABLE_ROWS = 1024
 #: Rows of one bucket that one task compares; a larger bucket is cut into pairs of parts.
 BUCKET_ROWS = 20_000
 #: Rows of one group whose shingle sets one task compares, and the bytes up to which a set is one row.
@@ -163,13 +170,25 @@ def _complete_keys(words: np.ndarray, radius: int) -> list[np.ndarray]:
 
 
 def _band_keys(words: np.ndarray, band_bits: int) -> list[np.ndarray]:
-    """One key per band of bits: blocks of one bit, whose coordinates are the bits."""
-    low = np.uint64((1 << band_bits) - 1)
-    return [
-        ((words[:, w] >> np.uint64(s)) & low).astype(np.int64)
-        for w in range(words.shape[1])
-        for s in range(0, 64, band_bits)
-    ]
+    """One key per band of coordinates of one-bit blocks, out of the distance table."""
+    digits = 1 << np.arange(band_bits, dtype=np.int64)
+    made = [np.zeros((0, words.shape[1] * 64 // band_bits), np.int64)]
+    for at in range(0, len(words), TABLE_ROWS):
+        c = coordinates(pivot_table(words[at : at + TABLE_ROWS], 1), 1)
+        made.append(c.reshape(len(c), -1, band_bits) @ digits)
+    return list(np.concatenate(made).T)
+
+
+def _unary(words: np.ndarray) -> np.ndarray:
+    """Coordinates of two-bit blocks, out of the distance table, as digits 00, 01, 11 of as many words.
+
+    The bits in which two rows differ are the sum of the differences of their coordinates.
+    """
+    made = [np.zeros((0, words.shape[1]), np.uint64)]
+    for at in range(0, len(words), TABLE_ROWS):
+        c = coordinates(pivot_table(words[at : at + TABLE_ROWS]))
+        made.append(np.packbits(np.stack([c > 1, c > 0], axis=2).reshape(len(c), -1), axis=1).view(np.uint64))
+    return np.concatenate(made)
 
 
 def _bucket_rows(distinct: DataFrame, radius: int, band_bits: int | None, carried: int) -> DataFrame:
@@ -221,23 +240,28 @@ class _Bucket:
 
     def __init__(self, words: np.ndarray, radius: int):
         self.words, self.radius = words, radius
-        self.table = None if words.shape[1] > 1 else pivot_table(words)
+        self.wide = words.shape[1] > 1
+        self.table = _unary(words) if self.wide else pivot_table(words)
 
     def distances(self, left, right) -> np.ndarray:
         """Differing bits of the pairs, or more than the radius; ``left`` may be one row.
 
         A pair is discarded once the distances to one reference differ by more
-        than the radius. A wide fingerprint is compared at once: its radius is
-        too large a part of its bits for a reference to tell rows apart.
+        than the radius, of a wide fingerprint once all its coordinates together do.
         """
-        if self.table is None:
-            return np.bitwise_count(self.words[left] ^ self.words[right]).sum(-1, dtype=np.int32)
         t, r = self.table, self.radius
+        if self.wide:
+            keep = np.flatnonzero(np.bitwise_count(t[left] ^ t[right]).sum(-1, dtype=np.int32) <= r)
+            return self._verified(left, right, keep)
         keep = np.flatnonzero(np.abs(t[left, 0] - t[right, 0]) <= r)
         first = left if np.isscalar(left) else left[keep]
         keep = keep[np.abs(t[first] - t[right[keep]]).max(-1, initial=0) <= r]
+        return self._verified(left, right, keep)
+
+    def _verified(self, left, right, keep: np.ndarray) -> np.ndarray:
+        """The exact distance of the pairs at ``keep``, more than the radius for the others."""
         first = left if np.isscalar(left) else left[keep]
-        out = np.full(len(right), r + 1, np.int32)
+        out = np.full(len(right), self.radius + 1, np.int32)
         out[keep] = np.bitwise_count(self.words[first] ^ self.words[right[keep]]).sum(-1, dtype=np.int32)
         return out
 

@@ -186,3 +186,26 @@ def test_short_texts_are_linked_by_exact_joins(spark):
         rows += [(2 * p, " ".join(words), "s"), (2 * p + 1, " ".join(words + ["more"]), "s")]
     got = stage_groups(spark, rows)
     assert len(set(got.values())) == 100 and all(got[2 * p] == got[2 * p + 1] for p in range(100))
+
+
+def test_wide_keys_and_discards_come_from_the_distance_table(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 63, (300, 16)).astype(np.uint64)
+    for i in range(0, 300, 3):  # near copies of the row before
+        flips = rng.choice(1024, i, replace=False)
+        words[i + 1] = words[i]
+        for b in flips.tolist():
+            words[i + 1, b // 64] ^= np.uint64(1 << b % 64)
+    # the bands agree exactly where the bits do, and the keys are counts away from the base
+    keys = np.array(S._band_keys(words, 16))
+    bits = np.ascontiguousarray(words ^ S.BASE).view("<u2")
+    assert keys.shape == (64, 300) and (keys.T == bits).all()
+    carried = words[:, :8]
+    bucket = S._Bucket(carried, 128)
+    c = S.coordinates(S.pivot_table(carried)).astype(int)
+    a, b = np.triu_indices(300, 1)
+    exact = np.bitwise_count(carried[a] ^ carried[b]).sum(1)
+    least = np.bitwise_count(bucket.table[a] ^ bucket.table[b]).sum(1)
+    assert (least == np.abs(c[a] - c[b]).sum(1)).all() and (least <= exact).all()
+    assert (np.minimum(bucket.distances(a, b), 129) == np.minimum(exact, 129)).all()
+    assert (exact <= 128).any() and (least[exact > 128] > 128).mean() > 0.99
