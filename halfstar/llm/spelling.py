@@ -160,9 +160,9 @@ def _listed(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, "key long, word string, n long, rank short")
 
 
-def _first_whole(padded: str, edit: int, longer: bool, frequent: dict[str, int]) -> int:
+def _first_whole(prefix: list[tuple[int, int]], edit: int, longer: bool) -> int:
     """Which prefix gram of a word is the first that an edit at ``edit`` leaves whole, and on which side."""
-    for rank, (p, e) in enumerate(prefix_grams(padded, frequent)):
+    for rank, (p, e) in enumerate(prefix):
         if e <= edit:
             return 2 * rank
         if p >= edit + longer:
@@ -207,10 +207,15 @@ def near_pairs(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
         def merge() -> None:
             words, counts, ranks = held
             if len(words) > 1:
+                prefix: dict[int, list[tuple[int, int]]] = {}  # one word often has several pairs in a list
                 for i, j in _variants(words):
                     a, b = words[i], words[j]
                     edit = one_edit(a, b)
-                    if edit >= 0 and ranks[i] == _first_whole(_FIRST + a + _LAST, edit + 1, len(a) >= len(b), known):
+                    if edit < 0:
+                        continue
+                    if i not in prefix:
+                        prefix[i] = prefix_grams(_FIRST + a + _LAST, known)
+                    if ranks[i] == _first_whole(prefix[i], edit + 1, len(a) >= len(b)):
                         for x, y in ((i, j), (j, i)):
                             out[0].append(words[x])
                             out[1].append(words[y])

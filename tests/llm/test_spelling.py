@@ -101,3 +101,12 @@ def test_awkward_rows(spark):
     assert S.spelling_forms(docs_of(spark, [])).count() == 0
     long = [(1, "Wordé " * 300_000 + "word" + "x" * 300_000, "a")]
     assert plain(S.spelling_forms(docs_of(spark, long))) == slow_forms([r[:2] for r in long])
+
+
+def test_first_whole_gram_is_found_among_known_ones():
+    padded = S._FIRST + "abcdefg" + S._LAST
+    prefix = S.prefix_grams(padded, {})
+    for edit in range(1, len(padded)):
+        for longer in (False, True):
+            whole = [2 * r + (p >= edit + longer) for r, (p, e) in enumerate(prefix) if e <= edit or p >= edit + longer]
+            assert S._first_whole(prefix, edit, longer) == (whole[0] if whole else -1)
