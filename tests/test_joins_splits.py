@@ -1,5 +1,6 @@
 import dataclasses
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -175,3 +176,50 @@ def test_splits_shuffle_no_titles(spark, monkeypatch):
     for query in (Q.holdout_consistent, Q.holdout_removed, Q.train_final, Q.rekeyed_removed, Q.rekeyed_anti_join):
         assert query(spark, "/root/testdata/sf0.001").columns == Q.SIX
     assert len(seen) >= 5 and all(c == {"userId", "movieId", "rating", "timestamp"} for c in seen)
+
+
+def recorded(monkeypatch, module):
+    """Labels and plans of what a module writes."""
+    seen, write = [], module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, label, *more: (
+        seen.append((label, df._jdf.queryExecution().optimizedPlan().toString())), write(df, label, *more))[1])
+    return seen
+
+
+def test_a_chain_of_lookups_counts_keys_before_its_joins(spark, monkeypatch):
+    from halfstar.operators import joins as J
+
+    fact = spark.range(60).selectExpr("id % 7 as a", "id % 5 as b", "id as v")
+    tables = [J.KeyedTable.build(spark.range(4).selectExpr(f"id as {k}", "1L as n", f"id * 10 as x{k}"), k, broadcast_bytes=0) for k in "ab"]
+    seen = recorded(monkeypatch, J)
+    found = J.lookup(J.lookup(fact, tables[0]), tables[1])
+    assert [label for label, _ in seen] == ["counts-a", "heavy-a", "counts-b", "heavy-b"]
+    assert not any("Join" in plan for _, plan in seen)
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[2]) == [
+        (i % 7, i % 5, i, i % 7 * 10 if i % 7 < 4 else None, i % 5 * 10 if i % 5 < 4 else None) for i in range(60)
+    ]
+
+
+def test_the_split_is_flagged_before_titles_join(spark, monkeypatch):
+    from halfstar.operators import split as Z
+    from halfstar.plans import prepare as P
+
+    ratings = spark.range(200).selectExpr("int(id % 20) userId", "int(id div 20) movieId", "1.5D rating", "id timestamp")
+    movies = spark.range(8).selectExpr("int(id) movieId", "concat('t', id, ' (1990)') title", "'g' genres")
+    seen = recorded(monkeypatch, Z)
+    p = P.build(spark, ratings, movies)
+    assert [label for label, _ in seen] == ["orphans"] and "Join" not in seen[0][1]
+    assert p.fact.count() == 200 and p.fact.where("full_title is null").count() == 40
+
+
+def test_rekeyed_tables_do_not_build_the_plain_ones(spark, monkeypatch):
+    from conftest import TESTDATA
+
+    from halfstar.plans import prepare as P
+    from halfstar.plans import queries as Q
+
+    built = []
+    monkeypatch.setattr(P, "_prepared", {})
+    monkeypatch.setattr(P, "build", lambda *given: built.append(given) or len(built))
+    assert Q.rekeyed(spark, TESTDATA) == Q.rekeyed(spark, TESTDATA) == 1 and len(built) == 1
+    assert P.prepare(spark, TESTDATA) == 2
