@@ -223,3 +223,18 @@ def test_rekeyed_tables_do_not_build_the_plain_ones(spark, monkeypatch):
     monkeypatch.setattr(P, "build", lambda *given: built.append(given) or len(built))
     assert Q.rekeyed(spark, TESTDATA) == Q.rekeyed(spark, TESTDATA) == 1 and len(built) == 1
     assert P.prepare(spark, TESTDATA) == 2
+
+
+def test_penalty_sums_meet_by_key_as_rows(spark, monkeypatch):
+    """Wide partial sums used to be sent for every key and task."""
+    from halfstar.operators import joins as J
+    from halfstar.operators import regularise as R
+
+    rows = spark.range(300).selectExpr("if(id < 200, 1, id) as userId", "1 as __n", "1.0D as __s", "double(id) as c1", "2L as n1")
+    seen = recorded(monkeypatch, J)
+    table = R._grid_sums(rows, "userId", [0.0, 2.0], 0.5)
+    plan = dict(seen)["by-userId"]
+    assert plan.count("Aggregate") == 2 and plan.rindex("Aggregate") < plan.index("RepartitionByExpression [userId")
+    got = {r["userId"]: (r["n"], r["sums"]) for r in table.df.collect()}
+    assert got[1][0] == 200 and got[1][1] == pytest.approx([100 - 9950, 100 - 4975.0])
+    assert len(got) == 101 and got[250] == (1, [0.5 - 125, 0.5 - 62.5])
