@@ -95,3 +95,16 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     )
     with pytest.raises(ValueError):
         scratch_dir(cluster)
+
+
+def test_many_order_lines_are_grouped_by_more_tasks(spark, monkeypatch):
+    """Rows per grouping task are bounded by the code, whatever the session's partitions; the ratings stay the same."""
+    from conftest import TESTDATA, rows
+
+    from halfstar.sources import tables
+
+    few = rows(tables.ratings_from_tables(spark, TESTDATA))
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 500)
+    many = tables.ratings_from_tables(spark, TESTDATA)
+    assert many.rdd.getNumPartitions() >= 10
+    assert rows(many) == few
