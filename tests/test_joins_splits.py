@@ -238,3 +238,12 @@ def test_penalty_sums_meet_by_key_as_rows(spark, monkeypatch):
     got = {r["userId"]: (r["n"], r["sums"]) for r in table.df.collect()}
     assert got[1][0] == 200 and got[1][1] == pytest.approx([100 - 9950, 100 - 4975.0])
     assert len(got) == 101 and got[250] == (1, [0.5 - 125, 0.5 - 62.5])
+
+
+def test_a_table_above_the_limit_is_never_broadcast(spark, skewed):
+    """Its files may be far smaller than its rows, so Spark would gather it at the driver for each lookup."""
+    users = skewed.groupBy("userId").agg(F.count("*").alias("n"), F.lit(1.0).alias("v"))
+    found = J.lookup(skewed, J.KeyedTable.build(users, "userId", broadcast_bytes=0), ["v"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert found.where("v = 1.0").count() == skewed.count()
