@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql.types import StructType
 
 from halfstar.llm.common import key_text, map_batches, row_key, utf8
 from halfstar.llm.components import components
-from halfstar.session import materialise
+from halfstar.session import discard, freed_shuffles, materialise
 
 #: Fixed value: seed of the shingle hash and of the base reference.
 SEED = 42
@@ -48,6 +49,8 @@ BUCKET_ROWS = 20_000
 GROUP_ROWS, ROW_BYTES = 4_000, 8_192
 #: Texts of at most so many shingles are also compared by exact joins: few votes make fingerprints differ more.
 SHORT = 125
+#: One text of so many is asked which shingles are frequent, and texts of those that make a shingle frequent.
+ASKED, FREQUENT = 32, 8
 #: Shingles hashed at once; bounds the memory of a very long text.
 SHINGLES = 1 << 16
 
@@ -84,10 +87,10 @@ def shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
-def fingerprint(text: bytes, shingle: int, lanes: int, distinct: bool = False) -> bytes:
-    """Big-endian fingerprint of ``64 * lanes`` bits; no word gives zeros."""
+def fingerprint(text: bytes, shingle: int, lanes: int, distinct: np.ndarray | None = None) -> bytes:
+    """Big-endian fingerprint of ``64 * lanes`` bits, of the ``distinct`` shingles if given; no word gives zeros."""
     counts, n = np.zeros(64 * lanes, np.int64), 0
-    for h in [shingle_set(text, shingle)] if distinct else shingle_hashes(text, shingle):
+    for h in shingle_hashes(text, shingle) if distinct is None else [distinct]:
         n += len(h)
         for i in range(0, len(h), 4096):
             block = _lanes(h[i : i + 4096], lanes).astype(">u8").view(np.uint8).reshape(-1, 8 * lanes)
@@ -96,29 +99,105 @@ def fingerprint(text: bytes, shingle: int, lanes: int, distinct: bool = False) -
 
 
 def fingerprints(
-    docs: DataFrame, shingle: int, lanes: int = 1, *, key: Column | None = None, distinct: bool = False
+    docs: DataFrame, shingle: int, lanes: int = 1, *, key: Column | None = None, similarity: float | None = None
 ) -> DataFrame:
-    """``(key, fp)`` per row of ``docs``, fp binary; if ``distinct`` also ``few``, the shingles of a text with few."""
+    """``(key, fp)`` per row of ``docs``, fp binary, of the shingles as a set if ``similarity`` is given.
+
+    Then also ``few``, the shingles of a text with few; ``size``, how many there are; ``first``, as many
+    of them as texts of that similarity must have one of in common; ``late``, how many of these are frequent;
+    and ``parity`` of all of them.
+    """
     key = F.col("doc_id") if key is None else key
     source = docs.select(key.alias("key"), "text")
     kind = source.schema["key"].dataType.simpleString()
+    if similarity is None:
 
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = utf8(batch.column("text"))
-        fps = pa.array([fingerprint(t, shingle, lanes, distinct) for t in texts], pa.binary())
-        if not distinct:
+        def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+            fps = pa.array([fingerprint(t, shingle, lanes) for t in utf8(batch.column("text"))], pa.binary())
             return pa.RecordBatch.from_arrays([batch.column("key"), fps], ["key", "fp"])
-        few = pa.array([_few(t, shingle) for t in texts], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column("key"), fps, few], ["key", "fp", "few"])
 
-    return map_batches(source, make, f"key {kind}, fp binary" + ", few array<long>" * distinct)
+        return map_batches(source, make, f"key {kind}, fp binary")
+    frequent = frequent_shingles(docs, shingle)
+    names = ["fp", "few", "size", "first", "late", "parity"]
+    kinds = [pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+
+    def told(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns: list[list] = [[] for _ in names]
+        for t in utf8(batch.column("text")):
+            distinct = shingle_set(t, shingle)
+            s = _narrow(distinct)
+            first, late = _first(s, *frequent, similarity)
+            values = fingerprint(t, shingle, lanes, distinct), _few(t, shingle, s), len(s), first.tobytes(), late, _parity(s).tobytes()
+            for column, value in zip(columns, values):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([batch.column("key"), *map(pa.array, columns, kinds)], ["key", *names])
+
+    return map_batches(source, told, f"key {kind}, fp binary, few array<long>, size int, first binary, late int, parity binary")
+
 
+def _narrow(shingles: np.ndarray) -> np.ndarray:
+    """The distinct shingles, cut like those of the exact check."""
+    return np.unique((shingles >> np.uint64(32)).astype(np.uint32))
 
-def _few(text: bytes, shingle: int) -> list[int] | None:
-    """The shingles of a text with at most ``SHORT``, cut like those of the exact check."""
+
+def _few(text: bytes, shingle: int, narrow: np.ndarray) -> list[int] | None:
+    """The shingles of a text with at most ``SHORT``."""
     if not text or len(text.split(None, SHORT + shingle)) > SHORT + shingle - 1:
         return None
-    return np.unique(shingle_set(text, shingle) >> np.uint64(32)).astype(np.int64).tolist() or None
+    return narrow.astype(np.int64).tolist() or None
+
+
+def frequent_shingles(docs: DataFrame, shingle: int, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, sorted, and their ranks, rarer ones first, by a share of the different texts.
+
+    They only serve to put what is frequent last in an order; any order gives the same links.
+    """
+    mark = F.xxhash64("text")
+    asked = docs.select("text", mark.alias("mark")).filter(F.pmod("mark", F.lit(ASKED)) == 0).dropDuplicates(["mark"])
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [_narrow(shingle_set(t, shingle)) for t in utf8(batch.column("text"))]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64))], ["s"])
+
+    counted = map_batches(asked.select("text"), sets, "s long").groupBy("s").agg(F.count("*").alias("n"))
+    found = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(most).collect()
+    values = np.array([r["s"] for r in reversed(found)], np.uint32)
+    order = np.argsort(values)
+    return values[order], order
+
+
+def _first(narrow: np.ndarray, frequent: np.ndarray, rank: np.ndarray, similarity: float) -> tuple[np.ndarray, int]:
+    """So many shingles that any set with ``similarity`` of the union in common has one of them among its own first ones.
+
+    The order is the same for all texts: by value, but frequent ones last; of these there are so many.
+    """
+    n = len(narrow)
+    most = n - ceil(similarity * n - 1e-9) + 1 if n else 0
+    if not len(frequent):
+        return narrow[:most], 0
+    at = np.minimum(np.searchsorted(frequent, narrow), len(frequent) - 1)
+    late = frequent[at] == narrow
+    ordered = np.concatenate([narrow[~late], narrow[late][np.argsort(rank[at[late]])]])
+    return ordered[:most], max(0, most - int((~late).sum()))
+
+
+def _parity(narrow: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls into each of so many classes, two or more per shingle, packed.
+
+    Two sets differ in at least as many elements as their parities do.
+    """
+    classes = 1 << max(6, (2 * len(narrow) - 1).bit_length())
+    odd = np.bincount(narrow & np.uint32(classes - 1), minlength=classes) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
+def _differ(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the elements in which two sets differ, by their parities."""
+    if len(x) > len(y):
+        x, y = y, x
+    while len(y) > len(x):  # the same parity over half as many classes
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 # --- buckets ------------------------------------------------------------------------
@@ -354,7 +433,7 @@ def _forest(links: np.ndarray) -> list[tuple[int, int, int]]:
     return [(a, b, d) for a, b, d in ordered if forest.join(a, b)]
 
 
-def _by_bucket(rows: DataFrame, others: tuple[str, ...], make, schema: str) -> DataFrame:
+def _by_bucket(rows: DataFrame, keys: tuple[str, ...], others: tuple[str, ...], make, schema: str) -> DataFrame:
     """``make(table, starts, ends)`` over the buckets of several rows, each whole in one call."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,8 +444,8 @@ def _by_bucket(rows: DataFrame, others: tuple[str, ...], make, schema: str) -> D
                 rest = table if rest is None else pa.concat_tables([rest, table])
             if rest is None or not rest.num_rows:
                 continue
-            keys = np.stack([rest.column(c).to_numpy().astype(np.int64) for c in ("band", "bucket", "part")])
-            new = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+            at = np.stack([rest.column(c).to_numpy().astype(np.int64) for c in keys])
+            new = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1
             bounds = np.concatenate([[0], new, [rest.num_rows]])
             done = bounds[-1] if batch is None else bounds[-2]
             if not done:
@@ -377,8 +456,7 @@ def _by_bucket(rows: DataFrame, others: tuple[str, ...], make, schema: str) -> D
                 yield make(rest, starts[several], ends[several])
             rest = rest.slice(done)
 
-    dealt = rows.select("band", "bucket", "part", "node", "fp", *others)
-    dealt = dealt.repartition("band", "bucket", "part").sortWithinPartitions("band", "bucket", "part")
+    dealt = rows.select(*keys, *others).repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(run, schema)
 
 
@@ -402,7 +480,7 @@ def _bucket_links(rows: DataFrame, radius: int, sure: int | None = None) -> tupl
         a, b, d = (np.concatenate(c) for c in columns)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d.astype(np.int32))], ["a", "b", "d"])
 
-    found = _by_bucket(rows, (), make, "a long, b long, d int")
+    found = _by_bucket(rows, ("band", "bucket", "part"), ("node", "fp"), make, "a long, b long, d int")
     groups = None
     if sure is not None:
         found = materialise(found, "simhash-found")
@@ -468,7 +546,8 @@ def _checked(
     """Links by exact similarity; those up to ``sure`` bits are beyond doubt.
 
     First the links themselves, then what they leave apart in a group: there
-    every pair of different components is compared, inside the task.
+    every pair of different components is compared, inside the task. Last, what
+    is still apart and shares one of its first shingles, whatever its bits.
     """
     links = materialise(links, "simhash-links")
     certain = links.filter(F.col("d") <= sure).select("a", "b")
@@ -480,12 +559,44 @@ def _checked(
     open_groups = _open(groups, joined)
     nodes = materialise(nodes.unionByName(open_groups.select("node")).distinct(), "simhash-asked")
     if nodes.isEmpty():
-        return certain
+        return _completed(docs, distinct, key, certain, joined, shingle, similarity)
     known = _sets(docs, distinct, key, nodes, shingle)
     held = materialise(certain.unionByName(_verified(doubt, known, similarity)), "simhash-held")
     rows = _open(groups, components(held)).join(known.withColumnRenamed("s", "fp"), "node")
     rows = materialise(rows.withColumn("band", F.lit(0)), "simhash-group-rows")
-    return held.unionByName(_group_links(_parts(rows, GROUP_ROWS), similarity))
+    held = materialise(held.unionByName(_group_links(_parts(rows, GROUP_ROWS), similarity)), "simhash-held")
+    discard(links, doubt, groups, nodes, known, rows)
+    return _completed(docs, distinct, key, held, components(held), shingle, similarity)
+
+
+def _completed(
+    docs: DataFrame, distinct: DataFrame, key: Column, held: DataFrame, joined: DataFrame, shingle: int, similarity: float
+) -> DataFrame:
+    """``held`` and the links between its components ``joined`` that no bucket or group has shown."""
+    shown = materialise(_candidates(distinct, joined, similarity), "simhash-candidates")
+    more = materialise(_likely(shown, distinct, similarity), "simhash-likely")
+    asked = materialise(more.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-asked")
+    if asked.isEmpty():
+        return held
+    known = _sets(docs, distinct, key, asked, shingle)
+    found = materialise(held.unionByName(_verified(more, known, similarity)), "simhash-completed")
+    discard(shown, more, asked, known)
+    return found
+
+
+def _likely(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs(a, b)`` but those whose parities show that they differ too much."""
+
+    def near(batch: pa.RecordBatch) -> pa.RecordBatch:
+        most = (1 - similarity) / (1 + similarity) * batch.column("sizes").to_numpy() + 1e-9
+        sides = zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())
+        found = [_differ(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in sides]
+        chosen = pa.array(np.array(found) <= most)
+        return pa.RecordBatch.from_arrays([batch.column(c).filter(chosen) for c in ("a", "b")], ["a", "b"])
+
+    told = [distinct.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("parity").alias(f"p{c}")) for c in ("a", "b")]
+    both = pairs.join(told[0], "a").join(told[1], "b").select("a", "b", (F.col("na") + F.col("nb")).alias("sizes"), "pa", "pb")
+    return map_batches(both, near, "a long, b long")
 
 
 def _apart(links: DataFrame, joined: DataFrame) -> DataFrame:
@@ -519,6 +630,61 @@ def _short_groups(distinct: DataFrame, similarity: float) -> DataFrame:
     return rows.select(F.col("e.s").cast("long").alias("bucket"), "node")
 
 
+def _candidates(distinct: DataFrame, joined: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: all nodes of different components that can reach ``similarity``, by their first shingles.
+
+    Two sets of that similarity have a common element among the first of both; from the places of the
+    earliest one on, both must hold as many elements as the similarity asks for. Pairs of texts with few
+    shingles are left to their own joins.
+    """
+    kept = distinct.filter("size > 0").select("node", "size", "first", "late", F.col("few").isNotNull().alias("short"))
+    told = kept.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    def rows(frequent: bool) -> DataFrame:
+        def explode(batch: pa.RecordBatch) -> pa.RecordBatch:
+            first = [np.frombuffer(x, np.uint32) for x in batch.column("first").to_pylist()]
+            n, late = np.array([len(x) for x in first]), batch.column("late").to_numpy()
+            n, skipped = (late, n - late) if frequent else (n - late, 0 * n)
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(skipped, n)
+            bucket = np.concatenate([x[s : s + k] for x, s, k in zip(first, skipped.tolist(), n.tolist())])
+            size, short = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64), n) for c in ("size", "short"))
+            told = [pa.array(np.repeat(batch.column(c).to_numpy(), n)) for c in ("node", "component")]
+            columns = [pa.array(bucket.view(np.int32)), *told, pa.array(size << 32 | place << 1 | short)]
+            return pa.RecordBatch.from_arrays(columns, ["bucket", "node", "component", "told"])
+
+        return map_batches(told, explode, "bucket int, node long, component long, told long")
+
+    def make(table: pa.Table, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        node, component, told = (table.column(c).to_numpy() for c in ("node", "component", "told"))
+        size, short = told >> 32, (told & 1).astype(bool)
+        left = size - (told >> 1 & (1 << 31) - 1)
+        found = [np.zeros((2, 0), np.int64)]
+
+        def keep(a: np.ndarray, b: np.ndarray) -> None:
+            ok = component[a] != component[b]
+            ok &= ~(short[a] & short[b])
+            ok &= np.minimum(left[a], left[b]) >= (similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9)
+            found.append(np.stack([node[a[ok]], node[b[ok]]]))
+
+        several = ends - starts
+        for offset in range(1, int(min(several.max(), 64))):
+            s, n = starts[several > offset], several[several > offset] - offset
+            a = np.repeat(s - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            for i in range(0, len(a), 1 << 16):
+                keep(a[i : i + (1 << 16)], a[i : i + (1 << 16)] + offset)
+        for lo, hi in zip(starts[several > 64].tolist(), ends[several > 64].tolist()):
+            if component[lo:hi].min() == component[lo:hi].max():
+                continue
+            for a in range(lo, hi - 64):
+                keep(np.full(hi - a - 64, a), np.arange(a + 64, hi))
+        a, b = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    alone, shared = rows(False), _parts(rows(True).withColumns({"band": F.lit(0), "fp": F.lit(b"")}), BUCKET_ROWS)
+    found = _by_bucket(alone, ("bucket",), ("node", "component", "told"), make, "a long, b long")
+    return found.unionByName(_by_bucket(shared, ("bucket", "part"), ("node", "component", "told"), make, "a long, b long")).distinct()
+
+
 def _group_links(rows: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: links by exact similarity that join what is apart in a group, a forest of each."""
 
@@ -531,7 +697,7 @@ def _group_links(rows: DataFrame, similarity: float) -> DataFrame:
         a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return _by_bucket(rows, ("component",), make, "a long, b long").distinct()
+    return _by_bucket(rows, ("bucket", "part"), ("node", "fp", "component"), make, "a long, b long").distinct()
 
 
 def similar(sets: list[np.ndarray], component: np.ndarray, similarity: float) -> list[tuple[int, int]]:
@@ -581,20 +747,26 @@ def grouped(
     ``carried`` words. With ``similarity`` the shingles are taken as a set, and
     a link of more than ``sure`` bits holds only if the texts share that part
     of their shingles, which every pair of a bucket's group is asked until it is
-    joined; texts of at most ``SHORT`` shingles are compared by exact joins
-    whatever their fingerprints. ``key`` must then be ``row_key``. ``component`` is
+    joined; and whatever their fingerprints, texts of at most ``SHORT`` shingles are
+    compared by exact joins, others if they share one of the shingles that such a
+    pair must share. ``key`` must then be ``row_key``. ``component`` is
     shared by all nodes that links connect, ``least`` is the smallest key of a node.
 
     Equal fingerprints are one node, so copies cost one row however many there
     are. Null and empty texts have the zero fingerprint and link like any other.
     Null, repeated or tied keys are kept as they are. An empty table gives none.
     """
-    made = fingerprints(docs, shingle, lanes, key=key, distinct=similarity is not None)
+    with freed_shuffles(docs.sparkSession):
+        return _grouped(docs, shingle, lanes, radius, band_bits, carried, similarity, sure, bucket_rows, key)
+
+
+def _grouped(docs, shingle, lanes, radius, band_bits, carried, similarity, sure, bucket_rows, key) -> tuple[DataFrame, DataFrame]:
+    made = fingerprints(docs, shingle, lanes, key=key, similarity=similarity)
     fps = materialise(made.withColumn("node", F.xxhash64("fp")), "simhash-fp")
     least = F.col("key")
     if isinstance(fps.schema["key"].dataType, StructType):  # null ids last
         least = F.struct(F.col("key.id").isNull().alias("none"), F.col("key.id").alias("id"), F.col("key.h").alias("h"))
-    few = [F.first("few").alias("few")] if similarity is not None else []
+    few = [F.first(c).alias(c) for c in ("few", "size", "first", "late", "parity")] if similarity is not None else []
     distinct = fps.groupBy("node").agg(F.first("fp").alias("fp"), F.min(least).alias("least"), *few)
     fps = fps.select("key", "fp", "node")
     distinct = materialise(distinct, "simhash-nodes")

@@ -179,6 +179,35 @@ def test_true_links_of_a_template_family_are_not_dropped_for_short_ones(spark):
     assert len(set(got.values())) == 200 - together and together >= 97
 
 
+def test_long_texts_are_linked_whatever_their_fingerprints(spark, monkeypatch):
+    """No fingerprint links anything here: pairs at 0.8 or just below, of which one text may be a short one."""
+    monkeypatch.setattr(S, "ASKED", 1)
+    rnd, rows = random.Random(3), []
+    often = [f"c{i}" for i in range(40)]
+    for p in range(60):
+        words = [*often[: p % 3 * 20], *(f"w{p}x{i}" for i in range(110 + 3 * p))]
+        n = len(words) - 4
+        other = words[: len(words) - round((0.2 if p % 2 else 0.23) * n)] if p % 5 else words + [f"z{p}y{i}" for i in range(n // 4)]
+        rows += [(2 * p, " ".join(words), "s"), (2 * p + 1, " ".join(other), "s")]
+    rnd.shuffle(rows)
+    docs = docs_of(spark, rows)
+    got = {r.key.id: r.component for r in S.near_groups(docs, **{**S.STAGE, "radius": 0, "sure": 0}, key=S.row_key(docs)).collect()}
+    expected = slow_near(rows)
+    by = dict(zip((i for i, _, _ in rows), expected))
+    assert 20 < sum(by[2 * p] == by[2 * p + 1] for p in range(60)) < 60
+    pairs = [(a, b) for a in by for b in by if a < b]
+    assert [got[a] == got[b] for a, b in pairs] == [by[a] == by[b] for a, b in pairs]
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 1), (5, 40), (300, 310), (400, 90), (2000, 2100)):
+        x = np.unique(rng.integers(0, 1 << 32, n).astype(np.uint32))
+        y = np.unique(np.concatenate([x[: len(x) // 2], rng.integers(0, 1 << 32, m).astype(np.uint32)]))
+        apart = len(np.setxor1d(x, y))
+        assert apart / 3 < S._differ(S._parity(x), S._parity(y)) <= apart and S._differ(S._parity(x), S._parity(x)) == 0
+
+
 def test_short_texts_are_linked_by_exact_joins(spark):
     rows = []
     for p in range(100):
