@@ -11,12 +11,13 @@ from halfstar.sources.delimited import (
     write_space_text,
 )
 from halfstar.sources.ingest import ingest_batches, prepare_ids, recode_ids
-from halfstar.sources.saved import load_als, load_result, save_als, save_result
+from halfstar.sources.saved import load_als, load_result, load_tables, save_als, save_result, save_tables
 from halfstar.sources.tables import movies_from_tables, ratings_from_tables
 
 __all__ = [
     "ingest_batches",
     "load_als",
+    "load_tables",
     "load_result",
     "movies_from_tables",
     "parse_movie_lines",
@@ -30,6 +31,7 @@ __all__ = [
     "read_training_log",
     "recode_ids",
     "save_als",
+    "save_tables",
     "save_result",
     "write_space_text",
 ]
