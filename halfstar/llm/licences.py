@@ -155,8 +155,9 @@ SPDX = {
     "gpl 3 0": "GPL-3.0", "lgpl 2 1": "LGPL-2.1", "lgpl 3 0": "LGPL-3.0", "agpl 3 0": "AGPL-3.0", "mpl 2 0": "MPL-2.0", "epl 2 0": "EPL-2.0",
     "bsl 1 0": "BSL-1.0", "isc": "ISC", "unlicense": "Unlicense", "cc0 1 0": "CC0-1.0", "cc by 4 0": "CC-BY-4.0", "cc by sa 4 0": "CC-BY-SA-4.0",
 }
-SENTENCES["spdx-mark"] = "spdx license identifier"
-SENTENCES |= {f"spdx-{text}{end}": text + end for text in SPDX for end in ("", " only", " or later")}
+SENTENCES["spdx-mark"] = _MARK = "spdx license identifier"
+SENTENCES |= {f"spdx-{text}{end}": f"{_MARK} {text}{end}" for text in SPDX for end in ("", " only", " or later")}
+SENTENCES |= {f"under-{licence}": f"licensed under the {titles[0]}" for licence, titles in TITLES.items()}
 
 # Licences as sequences of identifiers; the first rule that matches at a place wins.
 RULES = [
@@ -200,7 +201,8 @@ _WORD = re.compile(r"[^\W_]+")
 # a line without words, such as a bare comment sign, is a blank one
 _END = re.compile(r"[.!?;:]+(?=\s|$)|\n[^\w\n]*\n")
 _LINE_END = re.compile(r"[.!?;:]+(?=\s|$)|\n")
-_KNOWN = {text: name for name, text in SENTENCES.items()}
+# the splitter cuts an SPDX line behind the colon of its mark; what is under a title is told by the title
+_KNOWN = {text.removeprefix(f"{_MARK} "): name for name, text in SENTENCES.items() if not name.startswith("under-")}
 _LONGEST = max(t.count(" ") for t in SENTENCES.values()) + 2
 _LIST_MARK = re.compile(r"^(?:\d{1,2}|[a-z])\s+")
 
